@@ -1,0 +1,417 @@
+"""Every operator as a query over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks.oracles import FOOTBALL_NAMES
+from checks.raw import PERCENTS, STATISTICS, raw_columns
+from layerstats import (
+    BRONZE,
+    GOLD,
+    SILVER,
+    ConformSpec,
+    LayerConfig,
+    LayerPlan,
+    Measure,
+    Report,
+    Summary,
+    conform,
+    count_value,
+    football_plan,
+    ingest_csv,
+    integer_text,
+    latest,
+    percent_value,
+    profile,
+    publish,
+    read_layer,
+    round_of,
+    run_layers,
+    run_report,
+    run_reports,
+    season_of,
+    shared_dir,
+    summarise,
+    summarise_together,
+    top_n,
+    totals,
+    verify_layer,
+)
+
+BY_CLUB, BY_ROUND = ("season", "club"), ("season", "round_no")
+MEANS = {name: f"avg_{name}" for name in STATISTICS}
+SUMS = {"yellow_cards": "total_yellow_cards", "red_cards": "total_red_cards"}
+BEST_FIRST = (("avg_shots_on_target", "desc"),)
+SHOTS = ("season", "club", "matches", "avg_shots", "avg_shots_on_target", "avg_possession")
+DISCIPLINE = ("avg_fouls", "avg_yellow_cards", "avg_red_cards")
+
+
+def statistics_spec(season: Column) -> ConformSpec:
+    return ConformSpec(
+        event="match_id",
+        entity="club",
+        period_text="round_text",
+        period_number="round_no",
+        measures=tuple(
+            Measure(name, "percent" if name in PERCENTS else "count") for name in STATISTICS
+        ),
+        season=season,
+    )
+
+
+SUMMARIES = (
+    Summary("club_profile", BY_CLUB, {"match_id": "matches"}, MEANS),
+    Summary("round_summary", BY_ROUND, {"match_id": "entries"}, MEANS),
+    Summary("club_totals", BY_CLUB, sums=SUMS),
+)
+TOP_PROFILE = Report("top_profile", "club_profile", "season", SHOTS, BEST_FIRST, ("club",))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").selectExpr(*raw_columns())
+
+
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform(raw(spark, sf_dir), statistics_spec(F.col("season")))
+
+
+def write_csv(df: DataFrame, path: str) -> str:
+    """Write all columns as full text; Spark's CSV writer trims and cuts off microseconds."""
+    keep = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.select(*[F.col(name).cast("string") for name in df.columns]).write.options(**keep).csv(path)
+    return path
+
+
+def scratch_config(spark: SparkSession, label: str) -> LayerConfig:
+    """A place of its own for one query's tables, in the catalog as well."""
+    base = shared_dir(spark, label)
+    database = base.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"create database if not exists {database} location '{base}/catalog'")
+    return LayerConfig(base, database=database)
+
+
+def typed_like(df: DataFrame, model: DataFrame, *extra: Column) -> DataFrame:
+    """Text columns read back as the types they were written from."""
+    return df.select(*[F.col(f.name).try_cast(f.dataType) for f in model.schema], *extra)
+
+
+# -- sources and sinks -------------------------------------------------------
+
+
+def csv_roundtrip(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    path = write_csv(part, shared_dir(spark, "csv_roundtrip"))
+    return typed_like(ingest_csv(spark, path, schema=_text_schema(part)), part)
+
+
+def csv_inferred(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer")
+    path = write_csv(customer, shared_dir(spark, "csv_inferred"))
+    inferred = ingest_csv(spark, path, infer_schema=True)
+    return typed_like(inferred, customer)
+
+
+def ingest_provenance(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    path = write_csv(events, f"{shared_dir(spark, 'provenance')}/events_csv")
+    folder = F.regexp_extract("source_file", "([^/]+)/[^/]+$", 1).alias("source_folder")
+    return typed_like(ingest_csv(spark, path), events, folder)
+
+
+def layer_readback(spark, sf_dir):
+    cfg = scratch_config(spark, "layer_readback")
+    publish(table(spark, sf_dir, "orders"), cfg, BRONZE, "orders")
+    return read_layer(spark, cfg, BRONZE, "orders")
+
+
+def publish_overwrite(spark, sf_dir):
+    """The second version has other columns and rows, and is sorted."""
+    cfg = scratch_config(spark, "publish_overwrite")
+    rows = silver(spark, sf_dir)
+    publish(profile(rows, BY_ROUND, "match_id", STATISTICS), cfg, GOLD, "statistics")
+    second = totals(rows, BY_CLUB, SUMS)
+    publish(second, cfg, GOLD, "statistics", sort_by=BY_CLUB)
+    return spark.table(cfg.table("statistics"))
+
+
+def publish_partitioned(spark, sf_dir):
+    cfg = scratch_config(spark, "publish_partitioned")
+    return publish(silver(spark, sf_dir), cfg, SILVER, "statistics", partition_by=("season",))
+
+
+# -- cleaning ----------------------------------------------------------------
+
+
+def clean_counts_brand(spark, sf_dir):
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", count_value("p_brand").alias("brand_no")
+    )
+
+
+def clean_counts_name(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", count_value("p_name").alias("name_no"))
+
+
+def clean_counts_props(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", count_value("props").alias("props_no"))
+
+
+def clean_counts_priority(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", count_value("o_orderpriority").alias("priority_no")
+    )
+
+
+def clean_counts_typed(spark, sf_dir):
+    """On an inferred double the digits of ``17.0`` are 170."""
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", count_value("l_quantity").alias("quantity_no")
+    )
+
+
+def clean_percent(spark, sf_dir):
+    percent = lambda name: F.concat(F.round(F.col(name) * 100).cast("string"), F.lit("%"))
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        percent_value(percent("l_discount")).alias("discount_pct"),
+        percent_value(percent("l_tax")).alias("tax_pct"),
+    )
+
+
+def clean_percent_text(spark, sf_dir):
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", percent_value("p_brand").alias("brand_pct")
+    )
+
+
+def integer_text_query(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        integer_text("l_quantity").alias("quantity"),
+        integer_text("l_extendedprice").alias("price"),
+        integer_text("l_returnflag").alias("flag"),
+    )
+
+
+def trim_entity(spark, sf_dir):
+    """Spaces go, at both ends; a tab stays."""
+    padded = F.concat(F.lit("  "), F.col("c_name"), F.lit(" "))
+    tabbed = F.concat(F.lit(" "), F.col("c_name"), F.lit("\t "))
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", F.trim(padded).alias("name"), F.trim(tabbed).alias("name_tab")
+    )
+
+
+def rename_columns(spark, sf_dir):
+    """Absent names are skipped, case does not matter."""
+    return table(spark, sf_dir, "supplier").withColumnsRenamed(
+        {"S_SUPPKEY": "id", "s_name": "supplier_name", "s_phone": "phone"}
+    )
+
+
+def season_token(spark, sf_dir):
+    token = F.date_format("o_orderdate", "yyyy-M")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", season_of(token).alias("season"), round_of(token).alias("round_no")
+    )
+
+
+# -- summaries ---------------------------------------------------------------
+
+
+def club_profile(spark, sf_dir):
+    return profile(silver(spark, sf_dir), BY_CLUB, "match_id", STATISTICS)
+
+
+def round_summary(spark, sf_dir):
+    return profile(
+        silver(spark, sf_dir), BY_ROUND, "match_id", STATISTICS, count_name="entries"
+    )
+
+
+def club_totals(spark, sf_dir):
+    return totals(silver(spark, sf_dir), BY_CLUB, SUMS)
+
+
+def profile_exact(spark, sf_dir):
+    """Fractional metrics, the same digits in whatever order rows arrive."""
+    return profile(
+        table(spark, sf_dir, "lineitem"),
+        ("l_returnflag", "l_linestatus"),
+        "l_orderkey",
+        ("l_quantity", "l_extendedprice", "l_discount", "l_tax"),
+        count_name="lines",
+        exact=True,
+    )
+
+
+def summaries_one_pass(spark, sf_dir):
+    """Groups of both levels, with means and totals, from one aggregation."""
+    means = {name: f"avg_{name}" for name in ("shots", "possession", "passes")}
+    clubs = Summary("clubs", BY_CLUB, {"match_id": "events"}, means, SUMS)
+    rounds = Summary("rounds", BY_ROUND, {"match_id": "events"}, means)
+    tables = summarise_together(silver(spark, sf_dir), (clubs, rounds))
+    label = lambda level: F.lit(level).alias("level")
+    member = lambda name: F.col(name).cast("string").alias("member")
+    values = ["events", *means.values()]
+    return (
+        tables["clubs"]
+        .select(label("club"), "season", member("club"), *values, *SUMS.values())
+        .unionByName(
+            tables["rounds"].select(label("round"), "season", member("round_no"), *values),
+            allowMissingColumns=True,
+        )
+    )
+
+
+# -- reports -----------------------------------------------------------------
+
+
+def latest_season(spark, sf_dir):
+    return latest(silver(spark, sf_dir), "season")
+
+
+def top_profile(spark, sf_dir):
+    rows = latest(silver(spark, sf_dir), "season")
+    return top_n(
+        profile(rows, BY_CLUB, "match_id", STATISTICS), BEST_FIRST, tie_break=("club",)
+    ).select(*SHOTS)
+
+
+def top_profile_wide(spark, sf_dir):
+    rows = latest(silver(spark, sf_dir), "season")
+    return top_n(
+        profile(rows, BY_CLUB, "match_id", STATISTICS), BEST_FIRST, tie_break=("club",)
+    ).select(*SHOTS, *DISCIPLINE)
+
+
+def top_rounds(spark, sf_dir):
+    rows = latest(silver(spark, sf_dir), "season")
+    summary = profile(rows, BY_ROUND, "match_id", STATISTICS)
+    return top_n(summary, (("round_no", "asc"),)).select(*BY_ROUND, *DISCIPLINE)
+
+
+def top_totals(spark, sf_dir):
+    rows = latest(silver(spark, sf_dir), "season")
+    worst_first = (("total_red_cards", "desc"), ("total_yellow_cards", "desc"))
+    return top_n(totals(rows, BY_CLUB, SUMS), worst_first, tie_break=("club",))
+
+
+# -- verification and whole runs ---------------------------------------------
+
+
+def verify_silver(spark, sf_dir):
+    cfg = scratch_config(spark, "verify_layer")
+    publish(silver(spark, sf_dir), cfg, SILVER, "statistics")
+    return verify_layer(read_layer(spark, cfg, SILVER, "statistics")).schema
+
+
+def layer_sample(spark, sf_dir):
+    """A sample has no set rows, so count those that the table does hold."""
+    cfg = scratch_config(spark, "layer_sample")
+    orders = table(spark, sf_dir, "orders")
+    publish(orders, cfg, BRONZE, "orders")
+    sample = verify_layer(read_layer(spark, cfg, BRONZE, "orders")).sample
+    found = orders.select(*[F.col(name).alias(f"t_{name}") for name in orders.columns])
+    same = [F.col(name).eqNullSafe(F.col(f"t_{name}")) for name in orders.columns]
+    return sample.join(found, same, "left").agg(
+        F.count("*").alias("sample_rows"), F.count("t_o_orderkey").alias("found_rows")
+    )
+
+
+def layers_end_to_end(spark, sf_dir):
+    """CSV files to Bronze, Silver, Gold and a report read by table name."""
+    cfg = scratch_config(spark, "layers")
+    path = write_csv(raw(spark, sf_dir), f"{cfg.base}/landing")
+    plan = LayerPlan(
+        "bronze_statistics",
+        "silver_statistics",
+        statistics_spec(F.col("season")),
+        SUMMARIES,
+        (TOP_PROFILE,),
+    )
+    run_layers(spark, path, cfg, plan)
+    return run_reports(spark, cfg, plan)["top_profile"]
+
+
+def football_raw(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").selectExpr(*raw_columns(FOOTBALL_NAMES))
+
+
+def football_summary(index: int):
+    """A football summary straight from the raw rows."""
+
+    def query(spark, sf_dir):
+        plan = football_plan()
+        rows = football_raw(spark, sf_dir).withColumn("source_file", F.lit("lineitem"))
+        return summarise(conform(rows, plan.spec), plan.summaries[index])
+
+    return query
+
+
+def football_report(name: str):
+    """A football report over tables built by a whole run from CSV files."""
+
+    def query(spark, sf_dir):
+        cfg = scratch_config(spark, name)
+        path = write_csv(football_raw(spark, sf_dir), f"{cfg.base}/landing")
+        plan = football_plan()
+        tables = run_layers(spark, path, cfg, plan)
+        report = next(report for report in plan.reports if report.name == name)
+        return run_report(tables[report.table], report)
+
+    return query
+
+
+QUERIES = {
+    "csv_roundtrip": csv_roundtrip,
+    "csv_inferred": csv_inferred,
+    "ingest_provenance": ingest_provenance,
+    "layer_readback": layer_readback,
+    "publish_overwrite": publish_overwrite,
+    "publish_partitioned": publish_partitioned,
+    "clean_counts_brand": clean_counts_brand,
+    "clean_counts_name": clean_counts_name,
+    "clean_counts_props": clean_counts_props,
+    "clean_counts_priority": clean_counts_priority,
+    "clean_counts_typed": clean_counts_typed,
+    "clean_percent": clean_percent,
+    "clean_percent_text": clean_percent_text,
+    "integer_text": integer_text_query,
+    "trim_entity": trim_entity,
+    "rename_columns": rename_columns,
+    "conform": silver,
+    "season_token": season_token,
+    "profile": club_profile,
+    "round_summary": round_summary,
+    "totals": club_totals,
+    "profile_exact": profile_exact,
+    "summaries_one_pass": summaries_one_pass,
+    "latest_season": latest_season,
+    "top_profile": top_profile,
+    "top_profile_wide": top_profile_wide,
+    "top_rounds": top_rounds,
+    "top_totals": top_totals,
+    "verify_layer": verify_silver,
+    "layer_sample": layer_sample,
+    "layers_end_to_end": layers_end_to_end,
+    "football_clubs": football_summary(0),
+    "football_rounds": football_summary(1),
+    "football_cards": football_summary(2),
+    "football_club_shots": football_report("club_shots"),
+    "football_club_overview": football_report("club_overview"),
+    "football_round_discipline": football_report("round_discipline"),
+    "football_club_cards": football_report("club_cards"),
+}
+
+
+def _text_schema(df: DataFrame) -> str:
+    return ", ".join(f"{name} string" for name in df.columns)

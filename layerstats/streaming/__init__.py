@@ -1,0 +1 @@
+"""Nothing here: the layers are rebuilt in batch, as whole tables."""
