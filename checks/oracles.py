@@ -161,8 +161,7 @@ ORACLES = {
     "verify_layer": "select row_number() over () as position, column_name, "
     "case column_type when 'INTEGER' then 'int' when 'VARCHAR' then 'string' "
     f"else lower(column_type) end as data_type from (describe {SILVER})",
-    "layer_sample": "select least(count(*), 5) as sample_rows, "
-    "least(count(*), 5) as found_rows from orders",
+    "layer_sample": "select least(count(*), 5) as found_rows from orders",
     "layers_end_to_end": TOP_PROFILE,
     "football_clubs": FOOTBALL_CLUBS,
     "football_rounds": FOOTBALL_ROUNDS,

@@ -33,8 +33,8 @@ from layerstats import (
     run_reports,
     season_of,
     shared_dir,
+    shared_summaries,
     summarise,
-    summarise_together,
     top_n,
     totals,
     verify_layer,
@@ -254,19 +254,21 @@ def profile_exact(spark, sf_dir):
 
 
 def summaries_one_pass(spark, sf_dir):
-    """Groups of both levels, with means and totals, from one aggregation."""
+    """Tables of two levels, with means and totals, from one aggregation."""
+    cfg = scratch_config(spark, "summaries_one_pass")
     means = {name: f"avg_{name}" for name in ("shots", "possession", "passes")}
     clubs = Summary("clubs", BY_CLUB, {"match_id": "events"}, means, SUMS)
     rounds = Summary("rounds", BY_ROUND, {"match_id": "events"}, means)
-    tables = summarise_together(silver(spark, sf_dir), (clubs, rounds))
+    with shared_summaries(silver(spark, sf_dir), (clubs, rounds)) as tables:
+        published = {name: publish(df, cfg, GOLD, name) for name, df in tables.items()}
     label = lambda level: F.lit(level).alias("level")
     member = lambda name: F.col(name).cast("string").alias("member")
     values = ["events", *means.values()]
     return (
-        tables["clubs"]
+        published["clubs"]
         .select(label("club"), "season", member("club"), *values, *SUMS.values())
         .unionByName(
-            tables["rounds"].select(label("round"), "season", member("round_no"), *values),
+            published["rounds"].select(label("round"), "season", member("round_no"), *values),
             allowMissingColumns=True,
         )
     )
@@ -319,11 +321,12 @@ def layer_sample(spark, sf_dir):
     cfg = scratch_config(spark, "layer_sample")
     orders = table(spark, sf_dir, "orders")
     publish(orders, cfg, BRONZE, "orders")
-    sample = verify_layer(read_layer(spark, cfg, BRONZE, "orders")).sample
-    found = orders.select(*[F.col(name).alias(f"t_{name}") for name in orders.columns])
-    same = [F.col(name).eqNullSafe(F.col(f"t_{name}")) for name in orders.columns]
-    return sample.join(found, same, "left").agg(
-        F.count("*").alias("sample_rows"), F.count("t_o_orderkey").alias("found_rows")
+    sample = verify_layer(read_layer(spark, cfg, BRONZE, "orders"), rows=5).sample
+    sample = sample.toDF(*[f"s_{name}" for name in orders.columns])
+    same = [F.col(name).eqNullSafe(F.col(f"s_{name}")) for name in orders.columns]
+    # Five rows at any scale: the one side that may be broadcast unseen.
+    return orders.join(F.broadcast(sample), same, "left_semi").agg(
+        F.count("*").alias("found_rows")
     )
 
 

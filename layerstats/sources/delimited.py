@@ -15,6 +15,7 @@ def ingest_csv(
     schema: StructType | str | None = None,
     infer_schema: bool = False,
     delimiter: str = ",",
+    check_headers: bool = True,
 ) -> DataFrame:
     """Read headered delimited files as they are, plus ``source_file``.
 
@@ -23,13 +24,15 @@ def ingest_csv(
     reads all data once more and lets one ``1.5`` in a column of whole numbers
     turn ``420`` into ``420.0``.
 
-    With ``schema`` every file's header must agree with it. Spark maps columns
-    by position, so a file with swapped columns would otherwise load into the
-    wrong ones.
+    Spark maps columns by position, so of several files one with its columns in
+    another order would load into the wrong ones. ``check_headers`` makes that
+    an error: every file's header must agree with ``schema`` or else with the
+    first file's. Turn it off for files with unnamed or repeated columns.
     """
     reader = spark.read.option("header", True).option("sep", delimiter)
+    reader = reader.option("enforceSchema", not check_headers)
     if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
+        reader = reader.schema(schema)
     elif infer_schema:
         reader = reader.option("inferSchema", True)
     # The scan's own metadata survives later joins and shuffles, which a

@@ -67,7 +67,11 @@ def publish(
 
 
 def read_layer(spark: SparkSession, cfg: LayerConfig, layer: str, name: str) -> DataFrame:
-    """Read a layer's table by path, also where the catalog does not know it."""
+    """Read a layer's table by path, also where the catalog does not know it.
+
+    File formats without a schema of their own type partition columns by their
+    values; read by name, they have the types they were written with.
+    """
     return spark.read.format(cfg.provider).load(cfg.path(layer, name))
 
 
@@ -82,16 +86,20 @@ def _reads(df: DataFrame, path: str) -> bool:
     conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
     target = target.getFileSystem(conf).makeQualified(target).toString() + "/"
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    for leaf in (leaves.apply(i) for i in range(leaves.size())):
-        if leaf.getClass().getSimpleName() != "LogicalRelation":
-            continue
-        relation = leaf.relation()
-        if relation.getClass().getSimpleName() != "HadoopFsRelation":
-            continue
-        roots = relation.location().rootPaths()
-        for root in (roots.apply(i) for i in range(roots.size())):
-            root = root.getFileSystem(conf).makeQualified(root).toString() + "/"
-            if root.startswith(target) or target.startswith(root):
-                return True
+    root_plan = df._jdf.queryExecution().analyzed()
+    for plan in (root_plan, *_items(root_plan.subqueriesAll())):
+        for leaf in _items(plan.collectLeaves()):
+            if leaf.getClass().getSimpleName() != "LogicalRelation":
+                continue
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() != "HadoopFsRelation":
+                continue
+            for root in _items(relation.location().rootPaths()):
+                root = root.getFileSystem(conf).makeQualified(root).toString() + "/"
+                if root.startswith(target) or target.startswith(root):
+                    return True
     return False
+
+
+def _items(seq):
+    return [seq.apply(i) for i in range(seq.size())]

@@ -1,0 +1,145 @@
+import pytest
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
+
+from layerstats import BRONZE, GOLD, SILVER, LayerConfig, ingest_csv, publish, read_layer, shared_dir
+
+from conftest import final_plan
+
+
+def write(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text, encoding="utf-8")
+    return str(path)
+
+
+def test_text_by_default(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "id,n\n1, 7 \n2,\n3,1.50\n")
+    rows = ingest_csv(spark, path)
+    assert rows.dtypes[:2] == [("id", "string"), ("n", "string")]
+    assert [row.n for row in rows.collect()] == [" 7 ", None, "1.50"]
+
+
+def test_inference_on_request(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "id;n\n1;2\n2;1.5\n")
+    rows = ingest_csv(spark, path, infer_schema=True, delimiter=";")
+    assert rows.dtypes[:2] == [("id", "int"), ("n", "double")]
+
+
+def test_quotes_short_and_long_rows(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'a,b,c\n1\n"x, y",2,3,4\n')
+    rows = [tuple(row)[:3] for row in ingest_csv(spark, path).collect()]
+    assert rows == [("1", None, None), ("x, y", "2", "3")]
+
+
+def test_source_file_survives_a_shuffle(spark, tmp_path):
+    write(tmp_path / "in" / "a b.csv", "k\n1\n2\n")
+    write(tmp_path / "in" / "c.csv", "k\n1\n")
+    rows = ingest_csv(spark, str(tmp_path / "in"))
+    counts = rows.repartition(3).groupBy("source_file").count().collect()
+    got = {row.source_file.rsplit("/", 1)[-1]: row["count"] for row in counts}
+    assert got == {"a%20b.csv": 2, "c.csv": 1}
+    named = rows.select("source_file", F.input_file_name().alias("f")).collect()
+    assert all(r.source_file.split(":/")[1].lstrip("/") == r.f.split(":/")[1].lstrip("/") for r in named)
+
+
+def test_swapped_columns_are_an_error(spark, tmp_path):
+    write(tmp_path / "in" / "1.csv", "a,b\n1,2\n")
+    write(tmp_path / "in" / "2.csv", "b,a\n1,2\n")
+    for schema in (None, "a string, b string"):
+        with pytest.raises(Exception, match="(?i)header|FAILED_READ_FILE"):
+            ingest_csv(spark, str(tmp_path / "in"), schema=schema).collect()
+    assert ingest_csv(spark, str(tmp_path / "in"), check_headers=False).count() == 2
+
+
+def test_unnamed_and_repeated_columns_without_header_check(spark, tmp_path):
+    path = write(tmp_path / "a.csv", ",a,a\n0,1,2\n")
+    rows = ingest_csv(spark, path, check_headers=False)
+    assert [tuple(row)[:3] for row in rows.collect()] == [("0", "1", "2")]
+
+
+def test_a_missing_file_is_an_error(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        ingest_csv(spark, str(tmp_path / "none.csv"))
+
+
+def test_only_needed_columns_are_parsed(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "a,b,c\n1,2,3\n")
+    assert "ReadSchema: struct<b:string>" in final_plan(ingest_csv(spark, path).select("b"))
+
+
+def test_layout():
+    cfg = LayerConfig("/data/")
+    assert cfg.path(GOLD, "t") == "/data/gold/t"
+    assert cfg.table("t") == "`t`"
+    assert LayerConfig("/data", database="d").table("t") == "`d`.`t`"
+
+
+@pytest.mark.parametrize("provider", ["parquet", "orc"])
+def test_overwrite_replaces_data_and_schema(spark, cfg, provider):
+    cfg = LayerConfig(cfg.base, provider, cfg.database)
+    publish(spark.range(10), cfg, GOLD, "t")
+    publish(spark.range(3).select(F.col("id").cast("string").alias("x"), F.lit(1).alias("y")), cfg, GOLD, "t")
+    by_name, by_path = spark.table(cfg.table("t")), read_layer(spark, cfg, GOLD, "t")
+    assert by_name.dtypes == by_path.dtypes == [("x", "string"), ("y", "int")]
+    assert by_name.count() == by_path.count() == 3
+    assert spark.catalog.getTable(cfg.table("t")).tableType == "EXTERNAL"
+
+
+def test_dropping_the_table_keeps_its_files(spark, cfg):
+    publish(spark.range(10), cfg, GOLD, "t")
+    spark.sql(f"drop table {cfg.table('t')}")
+    assert read_layer(spark, cfg, GOLD, "t").count() == 10
+
+
+def test_self_overwrite_is_refused_and_loses_nothing(spark, cfg):
+    publish(spark.range(10), cfg, SILVER, "t")
+    by_path = read_layer(spark, cfg, SILVER, "t")
+    top = by_path.agg(F.max("id")).scalar()
+    for df in (
+        by_path,
+        spark.table(cfg.table("t")),
+        by_path.groupBy().count(),
+        spark.range(5).where(F.col("id") < top),
+        by_path.union(spark.range(1)),
+    ):
+        with pytest.raises(ValueError, match="overwrite"):
+            publish(df, cfg, SILVER, "t")
+    assert spark.table(cfg.table("t")).count() == 10
+    # A neighbour whose path merely starts the same is no conflict.
+    assert publish(by_path, cfg, SILVER, "t2").count() == 10
+
+
+def test_partitions_hold_few_files(spark, cfg):
+    rows = spark.range(0, 9000, 1, 16).withColumn("season", (F.col("id") % 3).cast("int"))
+    table = publish(rows, cfg, SILVER, "t", partition_by=("season",))
+    files = table.select("season", F.col("_metadata.file_path").alias("f")).distinct()
+    assert files.count() == 3
+    assert table.count() == 9000
+    plan = final_plan(table.where("season = 1").select("id"))
+    assert "PartitionFilters: [isnotnull(season" in plan
+
+
+def test_sorted_table_is_in_key_order(spark, cfg):
+    rows = spark.range(0, 1000, 1, 8).select((F.col("id") * 7919 % 1000).alias("k"))
+    table = publish(rows, cfg, GOLD, "t", sort_by=("k",))
+    spans = (
+        table.groupBy(F.col("_metadata.file_name").alias("f"))
+        .agg(F.min("k").alias("a"), F.max("k").alias("b"), F.count("*").alias("n"))
+        .orderBy("a")
+        .collect()
+    )
+    assert all(x.b < y.a for x, y in zip(spans, spans[1:]))
+    assert sum(row.n for row in spans) == 1000
+
+
+def test_shared_dir_comes_from_the_session(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = shared_dir(spark, "x"), shared_dir(spark, "x")
+    assert first.startswith(f"{root}/x-") and first != second
+
+
+def test_failed_publish_raises(spark, cfg):
+    bad = spark.range(5).select(F.raise_error(F.lit("no")).alias("x"))
+    with pytest.raises(PySparkException):
+        publish(bad, cfg, BRONZE, "t")
