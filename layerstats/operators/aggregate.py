@@ -6,10 +6,11 @@ from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerstats.sources.shared import remove_dir, shared_dir
+
 LEVEL = "grouping_level"
 
 
@@ -62,9 +63,8 @@ def summarise_together(df: DataFrame, summaries: Sequence[Summary]) -> dict[str,
     """Several summary tables as projections of one aggregation over one scan.
 
     Tables with the same keys share their groups and any common measures;
-    tables with other keys become further grouping sets. The frames all depend
-    on the same aggregation, so persist it (:func:`shared_summaries`) or write
-    it once if more than one of them is used.
+    tables with other keys become further grouping sets. Each frame depends on
+    the whole aggregation: to use more than one, see :func:`shared_summaries`.
     """
     shared = _grouped(df, summaries)
     return {summary.name: _pick(shared, summary, summaries) for summary in summaries}
@@ -74,16 +74,21 @@ def summarise_together(df: DataFrame, summaries: Sequence[Summary]) -> dict[str,
 def shared_summaries(
     df: DataFrame, summaries: Sequence[Summary]
 ) -> Iterator[dict[str, DataFrame]]:
-    """:func:`summarise_together`, with the aggregated rows kept while in use.
+    """:func:`summarise_together`, with the aggregation run once for all tables.
 
-    Only group rows are persisted, never the input. A lost executor costs a
-    recomputation of its blocks.
+    The group rows, never the input, are kept in the shared folder for the
+    length of the block. Unlike persisted blocks they outlive the executors
+    that made them, and adaptive execution sizes their partitions.
     """
-    shared = _grouped(df, summaries).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    path = shared_dir(spark, "summaries")
     try:
+        grouped = _grouped(df, summaries)
+        grouped.write.partitionBy(LEVEL).parquet(path)
+        shared = spark.read.schema(grouped.schema).parquet(path)
         yield {summary.name: _pick(shared, summary, summaries) for summary in summaries}
     finally:
-        shared.unpersist()
+        remove_dir(spark, path)
 
 
 def _all_keys(summaries: Sequence[Summary]) -> list[str]:

@@ -20,3 +20,9 @@ def shared_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="layerstats-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder named by :func:`shared_dir`."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

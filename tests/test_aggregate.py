@@ -1,8 +1,10 @@
 import math
+import os
 import random
 from decimal import ROUND_HALF_UP, Decimal
 from fractions import Fraction
 
+import pytest
 from pyspark.sql import functions as F
 
 from layerstats import Summary, profile, shared_summaries, summarise, summarise_together, totals
@@ -98,15 +100,14 @@ def test_same_keys_need_no_grouping_sets(spark):
 
 def test_shared_rows_are_released(spark):
     _, df = make(spark, 50)
-    before = spark.sparkContext._jsc.getPersistentRDDs().size()
-    try:
+    root = spark.conf.get("spark.checkpoint.dir")
+    kept = lambda: [name for name in os.listdir(root) if name.startswith("summaries-")]
+    with pytest.raises(KeyError):
         with shared_summaries(df, SUMMARIES) as tables:
             tables["by_club"].collect()
-            assert spark.sparkContext._jsc.getPersistentRDDs().size() > before
+            assert len(kept()) == 1
             raise KeyError
-    except KeyError:
-        pass
-    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    assert kept() == []
 
 
 def test_unreadable_ids_are_averaged_but_not_counted(spark):

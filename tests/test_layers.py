@@ -14,6 +14,8 @@ from layerstats import (
     read_layer,
     run_layers,
     run_reports,
+    shared_summaries,
+    summarise_together,
 )
 
 CLUBS = "gold_clube_estatisticas_temporada"
@@ -105,18 +107,29 @@ def test_a_missing_column_stops_the_run(spark, cfg, tmp_path):
         run_layers(spark, str(tmp_path / "bad.csv"), cfg, football_plan())
 
 
+def test_a_header_alone_gives_empty_tables(spark, cfg, tmp_path):
+    (tmp_path / "empty.csv").write_text(fixture.HEADER)
+    tables = run_layers(spark, str(tmp_path / "empty.csv"), cfg, football_plan())
+    assert [len(df.columns) for df in tables.values()] == [13, 13, 4]
+    assert all(df.count() == 0 for df in tables.values())
+    assert run_reports(spark, cfg, football_plan())["club_shots"].collect() == []
+
+
 def test_unknown_provider_is_an_error(spark, cfg):
     with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND|nosuch"):
         publish(spark.range(1), LayerConfig(cfg.base, "nosuch", cfg.database), BRONZE, "t")
 
 
 def test_summaries_read_silver_once(spark, cfg, built):
-    from layerstats import shared_summaries
-
     plan = football_plan()
     silver = read_layer(spark, cfg, SILVER, plan.silver)
-    with shared_summaries(silver, plan.summaries) as tables:
-        plans = [df._jdf.queryExecution().executedPlan().toString() for df in tables.values()]
-    assert all("InMemoryTableScan" in p and p.count("FileScan") == 1 for p in plans)
-    scan = plans[0][plans[0].index("ReadSchema") :].split("\n")[0]
+    tables = summarise_together(silver, plan.summaries)
+    text = tables[CARDS]._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1
+    scan = text[text.index("ReadSchema") :].split("\n")[0]
     assert "origem_arquivo" not in scan and "rodada_texto" not in scan
+    with shared_summaries(silver, plan.summaries) as shared:
+        for df in shared.values():
+            text = df._jdf.queryExecution().executedPlan().toString()
+            assert "silver" not in text and "Exchange" not in text
+            assert "PartitionFilters: [isnotnull(grouping_level" in text

@@ -1,4 +1,4 @@
-from layerstats import Report, latest, run_report, summarise, Summary, top_n, verify_layer
+from layerstats import Report, Summary, latest, run_report, summarise, top_n, verify_layer
 
 from conftest import final_plan
 
