@@ -1,8 +1,20 @@
+import re
+
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
-from layerstats import BRONZE, GOLD, SILVER, LayerConfig, ingest_csv, publish, read_layer, shared_dir
+from layerstats import (
+    BRONZE,
+    GOLD,
+    SILVER,
+    LayerConfig,
+    ingest_csv,
+    latest,
+    publish,
+    read_layer,
+    shared_dir,
+)
 
 from conftest import final_plan
 
@@ -120,6 +132,31 @@ def test_partitions_hold_few_files(spark, cfg):
     assert "PartitionFilters: [isnotnull(season" in plan
 
 
+def test_a_hot_partition_is_several_tasks_work(spark, cfg):
+    """Four fifths of the rows in one season: split by size, the rest kept whole."""
+    season = F.when(F.col("id") % 5 > 0, 2023).otherwise(2000 + F.col("id") % 15)
+    rows = spark.range(0, 400000, 1, 8).select(season.cast("int").alias("season"), F.xxhash64("id").alias("x"))
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "256k")
+    try:
+        table = publish(rows, cfg, SILVER, "t", partition_by=("season",))
+    finally:
+        spark.conf.set(name, before)
+    files = table.groupBy("season").agg(F.countDistinct(F.col("_metadata.file_path")).alias("files"))
+    counts = {row.season: row.files for row in files.collect()}
+    assert counts[2023] >= 5 and all(n <= 2 for s, n in counts.items() if s != 2023)
+    assert table.count() == 400000
+
+
+def test_latest_season_reads_its_partition_only(spark, cfg):
+    rows = spark.range(100).select((F.col("id") % 4 + 2020).cast("int").alias("season"), "id")
+    table = publish(rows, cfg, SILVER, "t", partition_by=("season",))
+    newest = latest(table, "season")
+    assert newest.count() == 25
+    assert re.search(r"PartitionFilters: \[isnotnull\(season#\d+\), \(season#\d+ = Subquery", final_plan(newest))
+
+
 def test_sorted_table_is_in_key_order(spark, cfg):
     rows = spark.range(0, 1000, 1, 8).select((F.col("id") * 7919 % 1000).alias("k"))
     table = publish(rows, cfg, GOLD, "t", sort_by=("k",))
