@@ -21,8 +21,8 @@ class Summary:
     ``counts`` counts non-NULL values, ``means`` are rounded half up to
     ``scale`` digits, ``sums`` add up. ``exact`` takes the means in decimal
     arithmetic, which gives the same digits whatever order the rows are added
-    in; it needs finite values below 10^12 with at most six decimals. Means of
-    whole numbers do not need it.
+    in; values are taken to six decimals, and those that are not finite or not
+    below 10^12 are an error. Means of whole numbers do not need it.
     """
 
     name: str
@@ -48,7 +48,10 @@ class Summary:
 
 def rounded_mean(column: str, scale: int = 2, exact: bool = False) -> Column:
     if exact:
-        return F.round(F.avg(F.col(column).cast("decimal(18,6)")), scale).cast("double")
+        value = F.col(column).try_cast("decimal(18,6)")
+        refuse = F.raise_error(F.concat(F.lit(f"{column} has no exact mean: "), F.col(column)))
+        value = F.when(F.col(column).isNotNull(), F.coalesce(value, refuse))
+        return F.round(F.avg(value), scale).cast("double")
     return F.round(F.avg(column), scale)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+
 from layerstats.operators.aggregate import Summary
 from layerstats.operators.conform import ConformSpec, Measure
 from layerstats.operators.report import Report
@@ -62,8 +64,9 @@ PERCENTAGES = ("posse_de_bola", "precisao_passes")
 def football_plan(
     bronze: str = "bronze_estatisticas",
     silver: str = "silver_estatisticas",
-    season=SEASON,
-    period_expression=None,
+    season: int | Column = SEASON,
+    period_expression: Column | None = None,
+    infer_schema: bool = False,
 ) -> LayerPlan:
     """The plan for one statistics file.
 
@@ -138,4 +141,4 @@ def football_plan(
             ("clube",),
         ),
     )
-    return LayerPlan(bronze, silver, spec, summaries, reports)
+    return LayerPlan(bronze, silver, spec, summaries, reports, infer_schema=infer_schema)

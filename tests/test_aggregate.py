@@ -5,6 +5,7 @@ from decimal import ROUND_HALF_UP, Decimal
 from fractions import Fraction
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from layerstats import Summary, profile, shared_summaries, summarise, summarise_together, totals
@@ -131,6 +132,19 @@ def test_exact_means_do_not_depend_on_row_order(spark):
         assert profile(df.repartition(parts), KEYS, "id", ("n",), exact=True).first().avg_n == expected
 
 
+def test_exact_means_leave_out_nulls_and_refuse_what_they_cannot_hold(spark, ansi):
+    def mean(*values):
+        rows = [(i, 1, "a", v) for i, v in enumerate(values)]
+        df = spark.createDataFrame(rows, "id int, season int, club string, n double")
+        return profile(df, KEYS, "id", ("n",), exact=True).first().avg_n
+
+    assert mean(1.0, None, 2.01) == 1.51
+    assert mean(None) is None
+    for value in (float("nan"), float("inf"), 1e12):
+        with pytest.raises(PySparkException, match="no exact mean"):
+            mean(1.0, value)
+
+
 def test_one_shuffle_of_pre_aggregated_rows(spark, tmp_path):
     _, df = make(spark, 4000)
     df.write.parquet(str(tmp_path / "t"))

@@ -5,6 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import fixture
+import run_football
 from layerstats import (
     BRONZE,
     SILVER,
@@ -46,6 +47,15 @@ def test_summary_tables(spark, cfg, built):
     assert len(spark.table(cfg.table(CLUBS)).columns) == len(spark.table(cfg.table(ROUNDS)).columns) == 13
 
 
+def test_the_script_shows_layers_and_reports(spark, cfg, tmp_path, capsys):
+    path = fixture.write(tmp_path / "in")
+    run_football.main([path, cfg.base, "--database", cfg.database, "--season", "2024", "--sort"])
+    shown = capsys.readouterr().out
+    for title in ("bronze: ", "silver: ", f"gold: {CARDS}", "club_shots", "club_cards"):
+        assert title in shown
+    assert "|São Paulo|" in shown and "|2024 " in shown
+
+
 def test_nothing_is_lost_between_layers(spark, cfg, built):
     plan = football_plan()
     bronze = read_layer(spark, cfg, BRONZE, plan.bronze)
