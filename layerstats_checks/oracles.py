@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.raw import PERCENTS, RAW, STATISTICS, raw_columns
+from layerstats_checks.raw import PERCENTS, RAW, STATISTICS, raw_columns
 from layerstats.plans import football
 
 FOOTBALL_NAMES = dict(zip(list(RAW)[:13], football.RAW_COLUMNS))

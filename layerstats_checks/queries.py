@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.oracles import FOOTBALL_NAMES
-from checks.raw import PERCENTS, STATISTICS, raw_columns
+from layerstats_checks.oracles import FOOTBALL_NAMES
+from layerstats_checks.raw import PERCENTS, STATISTICS, raw_columns
 from layerstats import (
     BRONZE,
     GOLD,

@@ -40,7 +40,8 @@ def half_up(values):
     if not values:
         return None
     mean = sum(map(Fraction, values)) / len(values)
-    return float((Decimal(mean.numerator) / Decimal(mean.denominator)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+    mean = Decimal(mean.numerator) / Decimal(mean.denominator)
+    return float(mean.quantize(Decimal("0.01"), ROUND_HALF_UP))
 
 
 def brute(rows, key):
@@ -92,6 +93,18 @@ def test_together_equals_one_by_one(spark):
         assert shared["cards"].columns == ["club", "season", "total"]
 
 
+def test_keys_may_be_measured_too(spark):
+    """A grouping set without a key must not blank it for the aggregates."""
+    _, df = make(spark, 500)
+    summaries = (
+        Summary("a", KEYS, {"club": "n", "round": "r"}, {"round": "m"}),
+        Summary("b", ("season", "round"), {"club": "clubs"}, {"season": "s"}, {"round": "t"}),
+    )
+    together = summarise_together(df, summaries)
+    for summary in summaries:
+        assert as_set(together[summary.name]) == as_set(summarise(df, summary))
+
+
 def test_same_keys_need_no_grouping_sets(spark):
     _, df = make(spark, 50)
     tables = summarise_together(df, (SUMMARIES[0], SUMMARIES[2]))
@@ -117,16 +130,19 @@ def test_unreadable_ids_are_averaged_but_not_counted(spark):
 
 
 def test_not_a_number_spreads_and_ties_round_up(spark):
-    df = spark.createDataFrame([(1, 1, "a", float("nan")), (2, 1, "a", 1.0)], "id int, season int, club string, n double")
+    rows = [(1, 1, "a", float("nan")), (2, 1, "a", 1.0)]
+    df = spark.createDataFrame(rows, "id int, season int, club string, n double")
     assert math.isnan(profile(df, KEYS, "id", ("n",)).first().avg_n)
-    ties = spark.createDataFrame([(i, 1, "a", 1522 if i == 0 else 0) for i in range(80)], "id int, season int, club string, n int")
+    rows = [(i, 1, "a", 1522 if i == 0 else 0) for i in range(80)]
+    ties = spark.createDataFrame(rows, "id int, season int, club string, n int")
     assert profile(ties, KEYS, "id", ("n",)).first().avg_n == 19.03
 
 
 def test_exact_means_do_not_depend_on_row_order(spark):
     rng = random.Random(5)
     values = [rng.randint(1, 10**7) / 100 for _ in range(4001)]
-    df = spark.createDataFrame([(i, 1, "a", v) for i, v in enumerate(values)], "id int, season int, club string, n double")
+    rows = [(i, 1, "a", v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "id int, season int, club string, n double")
     expected = half_up([Decimal(str(v)) for v in values])
     for parts in (1, 5, 13):
         assert profile(df.repartition(parts), KEYS, "id", ("n",), exact=True).first().avg_n == expected

@@ -69,7 +69,8 @@ def test_renames_are_tolerant_and_required_columns_are_not(spark):
 
 
 def test_unlisted_columns_are_dropped_and_kinds_checked(spark):
-    rows = spark.createDataFrame([("1", "a", "1", "-2", "x")], "id string, club string, round string, n string, z string")
+    schema = "id string, club string, round string, n string, z string"
+    rows = spark.createDataFrame([("1", "a", "1", "-2", "x")], schema)
     spec = ConformSpec("id", "club", "round", "r", (Measure("n", "strict_int"),), F.lit(7))
     assert conform(rows, spec).first().asDict() == {
         "id": 1, "round": "1", "club": "a", "n": -2, "season": 7, "r": 1,
