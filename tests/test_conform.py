@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -93,3 +95,12 @@ def test_one_narrow_code_generated_stage(spark, tmp_path):
     plan = final_plan(conform(bronze, football_plan().spec))
     assert "Exchange" not in plan and "Python" not in plan
     assert plan.count("*(1)") >= 1 and "*(2)" not in plan
+
+
+def test_generated_code_is_small_enough_to_be_compiled(spark, tmp_path):
+    """The JVM only interprets methods of 8,000 bytes and more."""
+    bronze = ingest_csv(spark, fixture.write(tmp_path))
+    conform(bronze, football_plan().spec).createOrReplaceTempView("conformed")
+    text = spark.sql("explain codegen select * from conformed").first()[0]
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
