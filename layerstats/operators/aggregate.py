@@ -75,16 +75,16 @@ def summarise_together(df: DataFrame, summaries: Sequence[Summary]) -> dict[str,
 
 @contextmanager
 def shared_summaries(
-    df: DataFrame, summaries: Sequence[Summary]
+    df: DataFrame, summaries: Sequence[Summary], otherwise: str | None = None
 ) -> Iterator[dict[str, DataFrame]]:
     """:func:`summarise_together`, with the aggregation run once for all tables.
 
-    The group rows, never the input, are kept in the shared folder for the
-    length of the block. Unlike persisted blocks they outlive the executors
+    The group rows, never the input, are kept in the shared folder (see
+    :func:`shared_dir` for ``otherwise``) for the length of the block. Unlike persisted blocks they outlive the executors
     that made them, and adaptive execution sizes their partitions.
     """
     spark = df.sparkSession
-    path = shared_dir(spark, "summaries")
+    path = shared_dir(spark, "summaries", otherwise)
     try:
         grouped = _grouped(df, summaries)
         grouped.write.partitionBy(LEVEL).parquet(path)

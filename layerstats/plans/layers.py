@@ -49,7 +49,7 @@ def build_gold(
     sorts for itself, so it is off unless somebody reads the files directly.
     """
     silver = read_layer(spark, cfg, SILVER, plan.silver)
-    with shared_summaries(silver, plan.summaries) as tables:
+    with shared_summaries(silver, plan.summaries, f"{cfg.base}/staging") as tables:
         return {
             summary.name: publish(
                 tables[summary.name], cfg, GOLD, summary.name, sort_by=summary.keys if sort else ()

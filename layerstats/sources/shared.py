@@ -8,13 +8,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def shared_dir(spark: SparkSession, label: str) -> str:
+def shared_dir(spark: SparkSession, label: str, otherwise: str | None = None) -> str:
     """A new folder name under the session's ``spark.checkpoint.dir``.
 
-    A session without the setting gets a folder of this machine in local mode
-    only; on a cluster the executors could not see it.
+    Where that is unset it is under ``otherwise``, a folder the caller knows to
+    be shared. Without either, a local session gets a folder of this machine; a
+    cluster session is refused, since its executors could not see one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or otherwise
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

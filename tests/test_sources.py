@@ -1,4 +1,5 @@
 import re
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
@@ -191,8 +192,23 @@ def test_sorted_table_is_in_key_order(spark, cfg):
 
 def test_shared_dir_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
-    first, second = shared_dir(spark, "x"), shared_dir(spark, "x")
-    assert first.startswith(f"{root}/x-") and first != second
+    first, second = shared_dir(spark, "x"), shared_dir(spark, "x", "/elsewhere")
+    assert first.startswith(f"{root}/x-") and second.startswith(f"{root}/x-") and first != second
+
+
+class Session:
+    """As much of a session without the setting as naming a folder takes."""
+
+    def __init__(self, master):
+        self.sparkContext = SimpleNamespace(master=master)
+        self.conf = SimpleNamespace(get=lambda name, default: default)
+
+
+def test_shared_dir_without_the_setting():
+    assert shared_dir(Session("yarn"), "x", "/lake/").startswith("/lake/x-")
+    assert "layerstats-" in shared_dir(Session("local[2]"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session("yarn"), "x")
 
 
 def test_failed_publish_raises(spark, cfg):
