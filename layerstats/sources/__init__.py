@@ -1,6 +1,6 @@
 from layerstats.sources.delimited import SOURCE_FILE, ingest_csv
 from layerstats.sources.layers import BRONZE, GOLD, SILVER, LayerConfig, publish, read_layer
-from layerstats.sources.shared import shared_dir
+from layerstats.sources.shared import remove_dir, shared_dir
 
 __all__ = [
     "BRONZE",
@@ -11,5 +11,6 @@ __all__ = [
     "ingest_csv",
     "publish",
     "read_layer",
+    "remove_dir",
     "shared_dir",
 ]

@@ -27,6 +27,7 @@ from layerstats import (
     profile,
     publish,
     read_layer,
+    remove_dir,
     round_of,
     run_layers,
     run_report,
@@ -96,6 +97,14 @@ def scratch_config(spark: SparkSession, label: str) -> LayerConfig:
     return LayerConfig(base, database=database)
 
 
+def keep_gold(spark: SparkSession, cfg: LayerConfig, plan: LayerPlan) -> None:
+    """Give back the space of what the Gold tables were made from."""
+    for layer, name in ((BRONZE, plan.bronze), (SILVER, plan.silver)):
+        spark.sql(f"drop table {cfg.table(name)}")
+        remove_dir(spark, cfg.path(layer, name))
+    remove_dir(spark, f"{cfg.base}/landing")
+
+
 def typed_like(df: DataFrame, model: DataFrame, *extra: Column) -> DataFrame:
     """Text columns read back as the types they were written from."""
     return df.select(*[F.col(f.name).try_cast(f.dataType) for f in model.schema], *extra)
@@ -313,7 +322,9 @@ def top_totals(spark, sf_dir):
 def verify_silver(spark, sf_dir):
     cfg = scratch_config(spark, "verify_layer")
     publish(silver(spark, sf_dir), cfg, SILVER, "statistics")
-    return verify_layer(read_layer(spark, cfg, SILVER, "statistics")).schema
+    columns = verify_layer(read_layer(spark, cfg, SILVER, "statistics")).schema
+    remove_dir(spark, cfg.base)
+    return columns
 
 
 def layer_sample(spark, sf_dir):
@@ -342,6 +353,7 @@ def layers_end_to_end(spark, sf_dir):
         (TOP_PROFILE,),
     )
     run_layers(spark, path, cfg, plan)
+    keep_gold(spark, cfg, plan)
     return run_reports(spark, cfg, plan)["top_profile"]
 
 
@@ -368,6 +380,7 @@ def football_report(name: str):
         path = write_csv(football_raw(spark, sf_dir), f"{cfg.base}/landing")
         plan = football_plan()
         tables = run_layers(spark, path, cfg, plan)
+        keep_gold(spark, cfg, plan)
         report = next(report for report in plan.reports if report.name == name)
         return run_report(tables[report.table], report)
 

@@ -45,6 +45,13 @@ def test_quotes_short_and_long_rows(spark, tmp_path):
     assert rows == [("1", None, None), ("x, y", "2", "3")]
 
 
+def test_line_ends_and_byte_order_marks(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("\ufeffa,b\r\n1,2\r\n3,\r\n".encode())
+    rows = ingest_csv(spark, str(tmp_path / "a.csv"))
+    assert rows.columns[:2] == ["a", "b"]
+    assert [tuple(row)[:2] for row in rows.collect()] == [("1", "2"), ("3", None)]
+
+
 def test_source_file_survives_a_shuffle(spark, tmp_path):
     write(tmp_path / "in" / "a b.csv", "k\n1\n2\n")
     write(tmp_path / "in" / "c.csv", "k\n1\n")
