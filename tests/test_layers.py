@@ -9,7 +9,15 @@ import run_football
 from layerstats import (
     BRONZE,
     SILVER,
+    ConformSpec,
     LayerConfig,
+    LayerPlan,
+    Measure,
+    Report,
+    Summary,
+    build_bronze,
+    build_gold,
+    build_silver,
     football_plan,
     publish,
     read_layer,
@@ -56,6 +64,45 @@ def test_the_script_shows_layers_and_reports(spark, cfg, tmp_path, capsys):
     assert "|São Paulo|" in shown and "|2024 " in shown
 
 
+def test_a_plan_of_ones_own(spark, cfg, tmp_path):
+    spec = ConformSpec(
+        event="match_id",
+        entity="player",
+        period_text="week",
+        period_number="week_no",
+        measures=(Measure("points"), Measure("accuracy", "percent")),
+        season=2024,
+        renames={"id": "match_id"},
+        source=("source_file", "origin"),
+    )
+    means = Summary(
+        "player_means",
+        ("season", "player"),
+        counts={"match_id": "matches"},
+        means={"points": "avg_points", "accuracy": "avg_accuracy"},
+    )
+    best = Report(
+        "best_players",
+        "player_means",
+        season="season",
+        columns=("season", "player", "avg_points"),
+        order=(("avg_points", "desc"),),
+        tie_break=("player",),
+    )
+    plan = LayerPlan("bronze_players", "silver_players", spec, (means,), (best,), delimiter=";")
+    path = tmp_path / "players.csv"
+    path.write_text("id;player;week;points;accuracy\n1;Ann;1;9;50%\n2;Ann ;2;6;\n3;Bo;2;8;40%\n")
+    build_bronze(spark, str(path), cfg, plan)
+    build_silver(spark, cfg, plan)
+    tables = build_gold(spark, cfg, plan)
+    assert sorted(map(tuple, tables["player_means"].collect())) == [
+        (2024, "Ann", 2, 7.5, 25.0),
+        (2024, "Bo", 1, 8.0, 40.0),
+    ]
+    report = run_reports(spark, cfg, plan)["best_players"]
+    assert [tuple(row) for row in report.collect()] == [(2024, "Bo", 8.0), (2024, "Ann", 7.5)]
+
+
 def test_nothing_is_lost_between_layers(spark, cfg, built):
     plan = football_plan()
     bronze = read_layer(spark, cfg, BRONZE, plan.bronze)
