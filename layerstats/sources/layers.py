@@ -46,9 +46,12 @@ def publish(
     and with a plain repartition one hot value is one task's work. ``sort_by``
     puts the table in total order, at the price of a range shuffle.
     """
-    path = cfg.path(layer, name)
+    path, table = cfg.path(layer, name), cfg.table(name)
     if _reads(df, path):
         raise ValueError(f"{path} is read by the plan that would overwrite it")
+    catalog = df.sparkSession.catalog
+    if catalog.tableExists(table) and catalog.getTable(table).tableType != "EXTERNAL":
+        raise ValueError(f"{table} exists and is not a table published to a path")
     if partition_by:
         df = df.hint("rebalance", *partition_by)
         if sort_by:
@@ -62,8 +65,8 @@ def publish(
         writer = writer.partitionBy(*partition_by)
     # An overwriting saveAsTable replaces the catalog entry too; CREATE TABLE
     # IF NOT EXISTS would keep the columns of the first run for ever.
-    writer.saveAsTable(cfg.table(name))
-    return df.sparkSession.table(cfg.table(name))
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
 def read_layer(spark: SparkSession, cfg: LayerConfig, layer: str, name: str) -> DataFrame:

@@ -147,6 +147,21 @@ def test_self_overwrite_is_refused_and_loses_nothing(spark, cfg):
     assert publish(by_path, cfg, SILVER, "t2").count() == 10
 
 
+def test_other_tables_are_left_alone(spark, cfg):
+    """Replacing a managed table's entry would delete its files."""
+    spark.range(4).write.saveAsTable(cfg.table("mine"))
+    spark.sql(f"create view {cfg.table('looked_at')} as select 1 as x")
+    for name in ("mine", "looked_at"):
+        with pytest.raises(ValueError, match="not a table published"):
+            publish(spark.range(1), cfg, GOLD, name)
+    assert spark.table(cfg.table("mine")).count() == 4
+    # A table published elsewhere before follows its configuration; its old files stay.
+    publish(spark.range(10), cfg, GOLD, "moved")
+    new = LayerConfig(f"{cfg.base}-new", database=cfg.database)
+    assert publish(spark.range(2), new, GOLD, "moved").count() == 2
+    assert read_layer(spark, cfg, GOLD, "moved").count() == 10
+
+
 def test_partitions_hold_few_files(spark, cfg):
     rows = spark.range(0, 9000, 1, 16).withColumn("season", (F.col("id") % 3).cast("int"))
     table = publish(rows, cfg, SILVER, "t", partition_by=("season",))
