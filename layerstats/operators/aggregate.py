@@ -22,7 +22,8 @@ class Summary:
     ``scale`` digits, ``sums`` add up. ``exact`` takes the means in decimal
     arithmetic, which gives the same digits whatever order the rows are added
     in; values are taken to six decimals, and those that are not finite or not
-    below 10^12 are an error. Means of whole numbers do not need it.
+    below 10^12 are an error. Means of whole numbers do not need it while a
+    group's sum stays below 2^53.
     """
 
     name: str
@@ -80,8 +81,9 @@ def shared_summaries(
     """:func:`summarise_together`, with the aggregation run once for all tables.
 
     The group rows, never the input, are kept in the shared folder (see
-    :func:`shared_dir` for ``otherwise``) for the length of the block. Unlike persisted blocks they outlive the executors
-    that made them, and adaptive execution sizes their partitions.
+    :func:`shared_dir` for ``otherwise``) for the length of the block. Unlike
+    persisted blocks they outlive the executors that made them, and adaptive
+    execution sizes their partitions.
     """
     spark = df.sparkSession
     path = shared_dir(spark, "summaries", otherwise)
