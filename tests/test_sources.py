@@ -212,6 +212,19 @@ def test_sorted_table_is_in_key_order(spark, cfg):
     assert sum(row.n for row in spans) == 1000
 
 
+def test_partitioned_files_are_sorted_inside(spark, cfg):
+    rows = spark.range(0, 3000, 1, 8).select(
+        (F.col("id") % 3).cast("int").alias("season"), (F.col("id") * 7919 % 3000).alias("x")
+    )
+    table = publish(rows, cfg, SILVER, "t", partition_by=("season",), sort_by=("x",))
+    files = {}
+    for row in table.select("x", "_metadata.file_path", "_metadata.row_index").collect():
+        files.setdefault(row.file_path, []).append((row.row_index, row.x))
+    assert len(files) == 3
+    for pairs in files.values():
+        assert [x for _, x in sorted(pairs)] == sorted(x for _, x in pairs)
+
+
 def test_shared_dir_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_dir(spark, "x"), shared_dir(spark, "x", "/elsewhere")
