@@ -41,14 +41,19 @@ def build_silver(
 
 
 def build_gold(
-    spark: SparkSession, cfg: LayerConfig, plan: LayerPlan, sort: bool = False
+    spark: SparkSession,
+    cfg: LayerConfig,
+    plan: LayerPlan,
+    sort: bool = False,
+    silver: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All summary tables from a single scan of Silver.
+    """All summary tables from a single scan of Silver, by default read by path.
 
     ``sort`` writes them in key order. Tables have no order and every report
     sorts for itself, so it is off unless somebody reads the files directly.
     """
-    silver = read_layer(spark, cfg, SILVER, plan.silver)
+    if silver is None:
+        silver = read_layer(spark, cfg, SILVER, plan.silver)
     with shared_summaries(silver, plan.summaries, f"{cfg.base}/staging") as tables:
         return {
             summary.name: publish(
@@ -72,8 +77,8 @@ def run_layers(
     lost executor never has to go further back than one layer.
     """
     build_bronze(spark, path, cfg, plan)
-    build_silver(spark, cfg, plan, partition_by)
-    return build_gold(spark, cfg, plan, sort)
+    silver = build_silver(spark, cfg, plan, partition_by)
+    return build_gold(spark, cfg, plan, sort, silver)
 
 
 def run_reports(spark: SparkSession, cfg: LayerConfig, plan: LayerPlan) -> dict[str, DataFrame]:

@@ -43,8 +43,9 @@ def publish(
 
     ``partition_by`` lays the files out by those columns after an adaptive
     rebalance on them: without it every task writes a file per value it meets,
-    and with a plain repartition one hot value is one task's work. ``sort_by``
-    puts the table in total order, at the price of a range shuffle.
+    and with a plain repartition one hot value is one task's work. Blank text in
+    such a column reads back as NULL. ``sort_by`` puts the table in total order,
+    at the price of a range shuffle; with ``partition_by``, each file.
     """
     path, table = cfg.path(layer, name), cfg.table(name)
     if _reads(df, path):

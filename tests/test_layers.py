@@ -152,6 +152,14 @@ def test_rerun_is_idempotent_and_follows_the_input(spark, cfg, tmp_path, built):
     assert again[CLUBS].count() == len(before) + 1
 
 
+def test_partition_values_keep_their_type(spark, cfg, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text(fixture.HEADER + "1,1,007,1\n2,1,08,3\n3,1,007,2\n4,1,,9\n")
+    tables = run_layers(spark, str(path), cfg, football_plan(), partition_by=("clube",))
+    clubs = {row.clube: row.media_chutes_por_jogo for row in tables[CLUBS].collect()}
+    assert clubs == {"007": 1.5, "08": 3.0, None: 9.0}
+
+
 def test_a_missing_input_stops_the_run(spark, cfg, tmp_path):
     with pytest.raises(AnalysisException):
         run_layers(spark, str(tmp_path / "none"), cfg, football_plan())
