@@ -67,4 +67,23 @@ select p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') as verdic
 from parts p left join best b on p.row = b.row and b.n = 1
 """
 
-ORACLES = {"op2_chat": OP2, "op6_urls": OP6}
+#: A text's distinct runs of five words, A-Z lower-cased; of fewer words, all of them.
+_RUNS = r"""
+  select id, unnest(list_distinct(case
+      when len(words) >= 5 then list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' '))
+      when len(words) > 0 then [array_to_string(words, ' ')] else [] end)) as run
+  from (select id, list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+      lambda word: word != '') as words from {table})
+"""
+
+OP9 = f"""
+with d0 as (select doc_id as id, text from documents), i0 as (select item_id as id, text from benchmark),
+d as ({_RUNS.format(table="d0")}), i as ({_RUNS.format(table="i0")}),
+n as (select id, count(*) as n from i group by id)
+select d.id as doc_id, n.id as item_id, count(*) / max(n.n) as containment
+from i join d using (run) join n on n.id = i.id
+group by d.id, n.id having count(*) >= 0.8 * max(n.n)
+"""
+
+ORACLES = {"op2_chat": OP2, "op6_urls": OP6, "op9_contamination": OP9}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerstats.llm import bpe, chat, language, toxicity, url_filter
+from layerstats.llm import bpe, chat, contamination, language, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +91,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score", "margin", "confident")
 
 
+def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contamination.search(docs, _table(spark, sf_dir, "benchmark"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -109,5 +114,6 @@ QUERIES = {
     "op2_chat": op2_chat,
     "op6_urls": op6_urls,
     "op8_language": op8_language,
+    "op9_contamination": op9_contamination,
     "op10_bpe": op10_bpe,
 }
