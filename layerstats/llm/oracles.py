@@ -86,4 +86,23 @@ from i join d using (run) join n on n.id = i.id
 group by d.id, n.id having count(*) >= 0.8 * max(n.n)
 """
 
-ORACLES = {"op2_chat": OP2, "op6_urls": OP6, "op9_contamination": OP9}
+OP5 = f"""
+with recursive d0 as (select doc_id as id, text from documents), r as materialized ({_RUNS.format(table="d0")}),
+n as (select id, count(*) as n from r group by id),
+links as materialized (
+  select a.id as a, b.id as b
+  from r a join r b on a.run = b.run and a.id != b.id join n na on na.id = a.id join n nb on nb.id = b.id
+  group by a.id, b.id having count(*) >= 0.8 * (max(na.n) + max(nb.n) - count(*))),
+reach(id, other) as (
+  select doc_id, doc_id from documents union select reach.id, links.b from reach join links on links.a = reach.other),
+same as (
+  select l.a, l.b from links l join n na on na.id = l.a join n nb on nb.id = l.b
+  where na.n = nb.n and (select count(*) from r x join r y on x.run = y.run where x.id = l.a and y.id = l.b) = na.n)
+select d.doc_id, c.class_id, least(d.doc_id, coalesce(s.low, d.doc_id)) as set_id, coalesce(k.n, 0) as n_links
+from documents d
+join (select id, min(other) as class_id from reach group by id) c on c.id = d.doc_id
+left join (select a, min(b) as low from same group by a) s on s.a = d.doc_id
+left join (select a, count(*) as n from links group by a) k on k.a = d.doc_id
+"""
+
+ORACLES = {"op2_chat": OP2, "op5_jaccard": OP5, "op6_urls": OP6, "op9_contamination": OP9}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerstats.llm import bpe, chat, contamination, language, toxicity, url_filter
+from layerstats.llm import bpe, chat, contamination, jaccard_join, language, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 #: The rules, as host, path and verdict.
 URL_RULES = (
     ("com", "/", "allow"),
@@ -112,6 +116,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat": op2_chat,
+    "op5_jaccard": op5_jaccard,
     "op6_urls": op6_urls,
     "op8_language": op8_language,
     "op9_contamination": op9_contamination,
