@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerstats.llm import bpe, chat, contamination, jaccard_join, language, toxicity, url_filter
+from layerstats.llm import bpe, chat, contamination, jaccard_join, language, suffix_dedup, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,18 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    lost = F.aggregate("removed", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
+    return cut.select(
+        "doc_id",
+        (F.octet_length("kept") + lost).cast("long").alias("n_bytes"),
+        lost.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -116,6 +128,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat": op2_chat,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_jaccard": op5_jaccard,
     "op6_urls": op6_urls,
     "op8_language": op8_language,
