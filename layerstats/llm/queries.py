@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerstats.llm import bpe, chat, contamination, jaccard_join, language, suffix_dedup, toxicity, url_filter
+from layerstats.llm import bpe, chat, contamination, jaccard_join, language, pitman_yor, suffix_dedup, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,13 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = pitman_yor.score(docs, remainder("doc_id", 7) != 2)
+    held_out = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     lost = F.aggregate("removed", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
@@ -128,6 +135,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat": op2_chat,
+    "op3_pitman_yor": op3_pitman_yor,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_jaccard": op5_jaccard,
     "op6_urls": op6_urls,
