@@ -224,7 +224,9 @@ def repeats(
         .agg(F.count("*").alias("of_gram"), (F.min("segment") == F.max("segment")).alias("uniform"))
         .where("of_gram > 1")
     )
-    again = written(anchors.join(grams.select("gram", "uniform"), "gram"), "again")
+    # As a table of its own it lets Spark split the other side of the join where a gram has very many anchors.
+    grams = written(grams.select("gram", "uniform"), "grams")
+    again = written(anchors.join(grams, "gram"), "again")
     mixed = again.where("not uniform")
     kinds = written(
         mixed.groupBy("gram", "segment").agg(
@@ -324,16 +326,16 @@ def remove_repeats(
         F.col("key").alias("__key"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans")
     )
     kept_fields = [f for f in docs.schema.fields if f.name.lower() not in (kept.lower(), removed.lower())]
-    rows = docs.select(*(F.col(f"`{f.name}`") for f in kept_fields), F.col(text).cast("string").alias("__text"))
-    rows = rows.withColumn("__text_hash", F.xxhash64("__text"))
+    rows = docs.select(*(F.col(f"`{f.name}`") for f in kept_fields))
+    rows = rows.withColumn("__text_hash", F.xxhash64(F.col(text).cast("string")))
     rows = rows.join(found, rows[key].eqNullSafe(found["__key"]) & (F.col("__text_hash") == F.col("__hash")), "left")
     rows = rows.drop("__key", "__hash", "__text_hash")
     schema = T.StructType([*kept_fields, T.StructField(kept, T.BinaryType()), T.StructField(removed, SPAN)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "__text"):
-                left, _, runs = _cut_out(part.column("__text"), part.column("__spans"), characters)
+            for part in pieces(batch, text):
+                left, _, runs = _cut_out(part.column(text).cast(pa.string()), part.column("__spans"), characters)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(f.name) for f in kept_fields), pa.array(left, pa.binary()), runs], schema.names
                 )
