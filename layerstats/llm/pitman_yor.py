@@ -28,12 +28,12 @@ from pyspark.sql import functions as F
 from layerstats.llm.store import written
 from layerstats.llm.words import LOWER, SPACE, buffers, mix, word_hashes
 
-DEPTH = 6
+DEPTH = 5
 #: Discounts of restaurants by the length of their context, and their common strength.
-DISCOUNTS = (0.2, 0.5, 0.6, 0.7, 0.75, 0.8, 0.8)
+DISCOUNTS = (0.2, 0.5, 0.6, 0.7, 0.75, 0.8)
 STRENGTH = 0.5
-BURN_IN, SAMPLES = 2, 3
-CHUNK_BYTES, BUCKET_BYTES, BLOCK = 12 << 20, 64 << 20, 1 << 21
+BURN_IN, SAMPLES = 1, 2
+CHUNK_BYTES, BUCKET_BYTES, BLOCK = 16 << 20, 16 << 20, 1 << 21
 #: The token at the end of each text among the hashes of words.
 END = np.uint64(0x454E44)
 REQUEST = "kind string, bucket int, chunk int, keys binary, counts binary"
@@ -67,10 +67,14 @@ def symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def runs(out: np.ndarray, at: int, stop: int) -> np.ndarray:
     """The symbol at each place and the ``DEPTH`` before it as one number, the symbol itself in the lowest byte."""
-    keys = np.zeros(stop - at, np.uint64)
-    for back in range(DEPTH, -1, -1):
-        keys = keys << np.uint64(8) | out[at - back : stop - back]
-    return keys
+    keys, have = out[at - DEPTH : stop].astype(np.uint64), 1
+    while have < DEPTH + 1:
+        # To the nearest ``have`` symbols come ``more`` from before them; places too near the start are cut off below.
+        more = min(have, DEPTH + 1 - have)
+        before = (keys[:-have] & np.uint64((1 << 8 * more) - 1)) << np.uint64(8 * have)
+        keys[have:] |= before
+        have += more
+    return keys[DEPTH:]
 
 
 def _blocks(texts: pa.Array, most: int) -> Iterator[slice]:
@@ -95,23 +99,31 @@ def _counted(keys: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys, np.bincount(where, learn, len(keys)).astype(np.int64)
 
 
-def _chunk_runs(texts: pa.Array, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _distinct_runs(texts: pa.Array, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct runs of a chunk, and how often each occurs in the texts learned from."""
     parts: list[tuple[np.ndarray, np.ndarray]] = []
-    for block in _blocks(texts, BLOCK):
-        out, first, end = symbols(texts.slice(block.start, block.stop - block.start))
-        weight = np.full(len(out), -1, np.int8)
-        size = end - first + 1
-        place = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        weight[place] = np.repeat(learn[block], size)
-        for at in range(DEPTH, len(out), BLOCK):
-            stop = min(len(out), at + BLOCK)
-            real = weight[at:stop] >= 0
-            parts.append(_counted(runs(out, at, stop)[real], weight[at:stop][real]))
-        if len(parts) > 8:
-            parts = [_distinct(parts)]
+    for learned in (False, True):
+        some = texts.filter(pa.array(learn == learned))
+        for block in _blocks(some, BLOCK):
+            out, first, end = symbols(some.slice(block.start, block.stop - block.start))
+            real = _inside(out, first, end)
+            for at in range(DEPTH, len(out), BLOCK):
+                stop = min(len(out), at + BLOCK)
+                keys, counts = np.unique(runs(out, at, stop)[real[at:stop]], return_counts=True)
+                parts.append((keys, counts if learned else np.zeros(len(keys), np.int64)))
+            if len(parts) > 8:
+                parts = [_distinct(parts)]
     return _distinct(parts)
 
 
+def _inside(out: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which symbols belong to a text, its end included, and not to what stands between texts."""
+    change = np.zeros(len(out) + 1, np.int8)
+    change[first] = 1
+    change[end + 1] = -1
+    return np.cumsum(change[:-1], dtype=np.int8) > 0
+
+
 def _run_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (mix(keys >> np.uint64(8) & np.uint64(0xFFFF)) % np.uint64(buckets)).astype(np.int64)
 
@@ -136,14 +148,14 @@ def _requests(buckets: int) -> object:
         rows = []
         for kind, (keys, counts), deal in (
             ("word", _counted(tokens, learn[owner]), _word_bucket),
-            ("run", _chunk_runs(texts, learn), _run_bucket),
+            ("run", _distinct_runs(texts, learn), _run_bucket),
         ):
             bucket = deal(keys, buckets)
             order = np.argsort(bucket, kind="stable")
             bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(bounds)):
                 here = order[bounds[b] : bounds[b + 1]]
-                rows.append((kind, int(b), chunk, keys[here].tobytes(), counts[here].tobytes()))
+                rows.append((kind, int(b), chunk, keys[here].tobytes(), counts[here].astype(np.int32).tobytes()))
         columns = zip(*rows, strict=True)
         kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["kind", "bucket", "chunk", "keys", "counts"])
@@ -153,7 +165,7 @@ def _requests(buckets: int) -> object:
 
 def _arrays(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
     return [
-        (np.frombuffer(k.as_py(), np.uint64), np.frombuffer(c.as_py(), np.int64))
+        (np.frombuffer(k.as_py(), np.uint64), np.frombuffer(c.as_py(), np.int32))
         for k, c in zip(table["keys"], table["counts"], strict=True)
     ]
 
@@ -194,12 +206,14 @@ def seat(customers: np.ndarray, parent: np.ndarray, others: np.ndarray, discount
     seated = 1
     active = int(np.searchsorted(-c, -seated, side="left"))
     while active:
-        group = 1 if seated < 16 else max(1, seated // 8)
+        group = 1 if seated < 16 else seated // 4
         t = tables[:active]
         new = (STRENGTH + discount * (o[:active] + t)) * p[:active]
         odds = new / (new + seated - discount * t)
-        come = np.minimum(c[:active] - seated, group)
-        tables[:active] += rng.binomial(come, np.clip(odds, 0, 1))
+        if group == 1:
+            tables[:active] += rng.random(active) < odds
+        else:
+            tables[:active] += rng.binomial(np.minimum(c[:active] - seated, group), np.clip(odds, 0, 1))
         seated += group
         active = int(np.searchsorted(-c, -seated, side="left"))
     out = np.empty_like(tables)
@@ -282,6 +296,18 @@ class Subtree:
             if step >= BURN_IN:
                 yield step - BURN_IN
 
+    def tables(self) -> bytes:
+        return np.concatenate([level.tables for level in self.levels]).astype(np.int32).tobytes()
+
+    def restore(self, tables: bytes) -> None:
+        """The seating that :meth:`tables` told of."""
+        flat, at, customers = np.frombuffer(tables, np.int32).astype(np.int64), 0, self.counts
+        for level in self.levels:
+            level.customers, level.tables = customers, flat[at : at + len(level.keys)]
+            customers = np.bincount(level.parent, level.tables, len(level.parents)).astype(np.int64)
+            at += len(level.keys)
+        self.top_customers = customers
+
 
 def seat_top(customers: np.ndarray, seed: int, sweeps: int = BURN_IN + SAMPLES) -> np.ndarray:
     """Probabilities after one byte, by (byte, symbol), from the customers of those 256 restaurants."""
@@ -298,41 +324,56 @@ def _subtree(keys: bytes, counts: bytes, bucket: int) -> Subtree:
     return Subtree(np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64), 7919 + bucket)
 
 
-def _collected(rows: DataFrame, samples: int) -> np.ndarray:
+def _collected(seated: DataFrame, samples: int) -> np.ndarray:
     """Customers of the one-byte restaurants, summed over buckets: at most 65,536 rows a sample."""
+    rows = seated.select("sample", F.explode(F.arrays_zip("dishes", "customers")).alias("x"))
     out = np.zeros((samples, 1 << 16), np.int64)
-    for row in rows.groupBy("sample", "dish").agg(F.sum("n").alias("n")).collect():
+    for row in rows.groupBy("sample", F.col("x.dishes").alias("dish")).agg(F.sum("x.customers").alias("n")).collect():
         out[row["sample"], row["dish"]] = row["n"]
     return out
 
 
-def _top_rows(top: np.ndarray | None) -> object:
-    """sample, dish, n: what each bucket's restaurants of two bytes send to their parents; without ``top``, at the start."""
+def _seated(top: np.ndarray | None) -> object:
+    """Each bucket's sampled seatings and what they send to the restaurants of one byte; without ``top``, the first seating."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for keys, counts, bucket in zip(*(batch.column(c).to_pylist() for c in ("keys", "counts", "bucket")), strict=True):
                 tree = _subtree(keys, counts, bucket)
-                for sample in tree.samples(top) if top is not None else (0,):
-                    n = len(tree.top)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, sample, np.int32)), pa.array(tree.top.astype(np.int32)), pa.array(tree.top_customers)],
-                        ["sample", "dish", "n"],
-                    )
+                told = [
+                    (tree.tables() if top is not None else b"", tree.top_customers.tolist())
+                    for _ in (tree.samples(top) if top is not None else (0,))
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([bucket] * len(told), pa.int32()),
+                        pa.array(np.arange(len(told), dtype=np.int32)),
+                        pa.array([tree.top.astype(np.int32).tolist()] * len(told), pa.list_(pa.int32())),
+                        pa.array([x[1] for x in told], pa.list_(pa.int64())),
+                        pa.array([x[0] for x in told], pa.binary()),
+                    ],
+                    ["bucket", "sample", "dishes", "customers", "tables"],
+                )
 
     return run
 
 
-def _answer_runs(start: np.ndarray, tops: np.ndarray) -> object:
+SEATED = "bucket int, sample int, dishes array<int>, customers array<long>, tables binary"
+
+
+def _answer_runs(tops: np.ndarray) -> object:
     def run(requests: pa.Table, model: pa.Table) -> pa.Table:
+        if not requests.num_rows:
+            return pa.table({"kind": pa.array([], pa.string()), "bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int32()), "values": pa.array([], pa.binary())})
         bucket = model["bucket"][0].as_py()
         keys = np.frombuffer(model["keys"][0].as_py(), np.uint64)
         tree = _subtree(model["keys"][0].as_py(), model["counts"][0].as_py(), bucket)
         total = np.zeros(len(keys))
-        for sample in tree.samples(start):
+        for sample, tables in zip(model["sample"].to_pylist(), model["tables"], strict=True):
+            tree.restore(tables.as_py())
             total += tree.predict(tops[sample])
         value = np.log10(total / SAMPLES).astype(np.float32)
-        asked = [np.frombuffer(k.as_py(), np.uint64) for k in requests["keys"]]
+        asked = (np.frombuffer(k.as_py(), np.uint64) for k in requests["keys"])
         values = [value[np.searchsorted(keys, k)].tobytes() for k in asked]
         return pa.table({"kind": requests["kind"], "bucket": requests["bucket"], "chunk": requests["chunk"], "values": pa.array(values, pa.binary())})
 
@@ -360,18 +401,24 @@ def _scored(buckets: int, train_tokens: int, distinct: int) -> object:
         keys, where = np.unique(tokens, return_inverse=True)
         count = looked_up(keys, _word_bucket, given["word"], np.int64)[where]
         base = np.log10((count + 1) / (train_tokens + distinct + 1))
-        keys, _ = _chunk_runs(texts, np.zeros(n, np.int64))
-        value = looked_up(keys, _run_bucket, given["run"], np.float32)
-        score = np.zeros(n)
+        # Each block's distinct runs, and which of them stands at each place.
+        blocks, every = [], []
         for block in _blocks(texts, BLOCK):
             out, first, end = symbols(texts.slice(block.start, block.stop - block.start))
-            sums = np.zeros(len(out) + 1)
+            real, parts = _inside(out, first, end), []
             for at in range(DEPTH, len(out), BLOCK):
-                stop = min(len(out), at + BLOCK)
-                here, place = np.unique(runs(out, at, stop), return_inverse=True)
-                known = np.minimum(np.searchsorted(keys, here), len(keys) - 1)
-                # Runs at padding are asked for by nobody and fall outside every text.
-                sums[at + 1 : stop + 1] = value[known][place]
+                here, place = np.unique(runs(out, at, min(len(out), at + BLOCK)), return_inverse=True)
+                parts.append((at, here, place.astype(np.int32)))
+                every.append(here[np.unique(place[real[at : at + BLOCK]])] if not real[at:].all() else here)
+            blocks.append((block, first, end, real, parts))
+        keys = np.unique(np.concatenate(every)) if every else np.empty(0, np.uint64)
+        value = looked_up(keys, _run_bucket, given["run"], np.float32)
+        score = np.zeros(n)
+        for block, first, end, real, parts in blocks:
+            sums = np.zeros(len(real) + 1)
+            for at, here, place in parts:
+                known = value[np.minimum(np.searchsorted(keys, here), len(keys) - 1)]
+                sums[at + 1 : at + 1 + len(place)] = known[place]
             np.cumsum(sums, out=sums)
             score[block] = sums[end + 1] - sums[first]
         return pa.table(
@@ -419,14 +466,14 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
 
     asked = requests.where("kind = 'run'")
     model = written(asked.groupBy("bucket").applyInArrow(_merge, "bucket int, keys binary, counts binary"), "runs")
-    top_schema = "sample int, dish int, n long"
-    start = seat_top(_collected(model.mapInArrow(_top_rows(None), top_schema), 1)[0], 1)
-    customers = _collected(model.mapInArrow(_top_rows(start), top_schema), SAMPLES)
+    start = seat_top(_collected(model.mapInArrow(_seated(None), SEATED), 1)[0], 1)
+    seated = written(model.mapInArrow(_seated(start), SEATED), "seatings")
+    customers = _collected(seated, SAMPLES)
     tops = np.stack([seat_top(customers[s], 2 + s) for s in range(SAMPLES)])
     answers = (
         asked.groupBy("bucket")
-        .cogroup(model.groupBy("bucket"))
-        .applyInArrow(_answer_runs(start, tops), "kind string, bucket int, chunk int, values binary")
+        .cogroup(model.join(seated.select("bucket", "sample", "tables"), "bucket").groupBy("bucket"))
+        .applyInArrow(_answer_runs(tops), "kind string, bucket int, chunk int, values binary")
     )
     replies = words.select("kind", "bucket", "chunk", "values").unionByName(answers)
     out = rows.select("key").schema["key"].dataType.simpleString()
