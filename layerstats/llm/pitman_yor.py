@@ -34,6 +34,8 @@ DISCOUNTS = (0.2, 0.5, 0.6, 0.7, 0.75, 0.8)
 STRENGTH = 0.5
 BURN_IN, SAMPLES = 1, 2
 CHUNK_BYTES, BUCKET_BYTES, BLOCK = 16 << 20, 16 << 20, 1 << 21
+#: Chunks whose requests one task of a bucket merges or answers.
+LOT = 256
 #: The token at the end of each text among the hashes of words.
 END = np.uint64(0x454E44)
 REQUEST = "kind string, bucket int, chunk int, keys binary, counts binary"
@@ -164,10 +166,12 @@ def _requests(buckets: int) -> object:
 
 
 def _arrays(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
-    return [
-        (np.frombuffer(k.as_py(), np.uint64), np.frombuffer(c.as_py(), np.int32))
-        for k, c in zip(table["keys"], table["counts"], strict=True)
-    ]
+    """Keys and counts; a chunk's counts have 32 bits, sums of chunks 64."""
+    out = []
+    for raw, counts in zip(table["keys"].to_pylist(), table["counts"].to_pylist(), strict=True):
+        keys = np.frombuffer(raw, np.uint64)
+        out.append((keys, np.frombuffer(counts, np.int64 if len(counts) == 8 * len(keys) else np.int32)))
+    return out
 
 
 def _merge(table: pa.Table) -> pa.Table:
@@ -464,15 +468,22 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     by_bucket = words.groupBy("bucket").agg(F.first("tokens").alias("tokens"), F.first("distinct").alias("distinct"))
     tokens, distinct = by_bucket.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
 
-    asked = requests.where("kind = 'run'")
-    model = written(asked.groupBy("bucket").applyInArrow(_merge, "bucket int, keys binary, counts binary"), "runs")
+    # Very common pairs of bytes are in every chunk's requests: those of a bucket are merged and
+    # answered in lots of ``LOT`` chunks, so that no task's share grows with the number of chunks.
+    lots = math.ceil(chunks / LOT)
+    asked = requests.where("kind = 'run'").withColumn("lot", F.pmod("chunk", F.lit(lots)))
+    merged = "bucket int, keys binary, counts binary"
+    model = asked.groupBy("bucket", "lot").applyInArrow(_merge, merged)
+    model = written(model.groupBy("bucket").applyInArrow(_merge, merged) if lots > 1 else model, "runs")
     start = seat_top(_collected(model.mapInArrow(_seated(None), SEATED), 1)[0], 1)
     seated = written(model.mapInArrow(_seated(start), SEATED), "seatings")
     customers = _collected(seated, SAMPLES)
     tops = np.stack([seat_top(customers[s], 2 + s) for s in range(SAMPLES)])
+    trained = model.join(seated.select("bucket", "sample", "tables"), "bucket")
+    trained = trained.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
     answers = (
-        asked.groupBy("bucket")
-        .cogroup(model.join(seated.select("bucket", "sample", "tables"), "bucket").groupBy("bucket"))
+        asked.groupBy("bucket", "lot")
+        .cogroup(trained.groupBy("bucket", "lot"))
         .applyInArrow(_answer_runs(tops), "kind string, bucket int, chunk int, values binary")
     )
     replies = words.select("kind", "bucket", "chunk", "values").unionByName(answers)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerstats.llm import bpe, chat, contamination, jaccard_join, language, pitman_yor, suffix_dedup, toxicity, url_filter
+from layerstats.llm import bpe, chat, contamination, jaccard_join, language, pitman_yor, suffix_dedup, topk, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,6 +106,11 @@ def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return topk.search(docs, F.col("doc_id") % 20 == 0).select("query_id", "doc_id", "score", "rank")
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     dictionaries = language.fit(docs, learn=remainder("doc_id", 5) != 0)
@@ -139,6 +144,7 @@ QUERIES = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_jaccard": op5_jaccard,
     "op6_urls": op6_urls,
+    "op7_topk": op7_topk,
     "op8_language": op8_language,
     "op9_contamination": op9_contamination,
     "op10_bpe": op10_bpe,

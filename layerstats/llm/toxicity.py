@@ -187,14 +187,13 @@ def fit(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches), rows_schema)
-        if not table.num_rows:
-            weights, bias = np.zeros(1 << bits, np.float32), -5.0
-        else:
-            weights, bias = train(table["__text"], table["__label"].to_numpy(), bits, steps)
+        weights, bias = train(table["__text"], table["__label"].to_numpy(), bits, steps)
         yield pa.RecordBatch.from_pydict({"weights": [weights.tobytes()], "bias": [bias]})
 
     rows_schema = pa.schema([("__label", pa.int32()), ("__text", pa.string())])
     model = rows.mapInArrow(work, "weights binary, bias double").first()
+    if model is None:
+        return np.zeros(1 << bits, np.float32), -8.0
     return np.frombuffer(model["weights"], np.float32), model["bias"]
 
 
