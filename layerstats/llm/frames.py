@@ -29,15 +29,19 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Itera
 
 
 def with_columns(
-    df: DataFrame, text: str, added: Sequence[tuple[str, T.DataType]], work: Callable[[pa.Array], Sequence[pa.Array]]
+    df: DataFrame,
+    text: str,
+    added: Sequence[tuple[str, T.DataType]],
+    work: Callable[[pa.Array], Sequence[pa.Array]],
+    keep_text: bool = True,
 ) -> DataFrame:
-    """``df`` with columns made from one text column.
+    """``df`` with columns made from one text column, which goes if not ``keep_text``.
 
     An input column whose name equals a new one's, in whatever case, is replaced.
     Names that occur twice in ``df`` are refused, as Spark refuses to name them.
     """
     names = {name.lower() for name, _ in added}
-    kept = [field for field in df.schema.fields if field.name.lower() not in names]
+    kept = [f for f in df.schema.fields if f.name.lower() not in names and (keep_text or f.name != text)]
     source = "__text"
     while source in {field.name for field in kept}:
         source += "_"

@@ -213,9 +213,9 @@ def _verified(threshold: float) -> object:
     return run
 
 
-def name_sets(docs: DataFrame, text: str = "text", size: int = 5, out: str = "cid") -> DataFrame:
-    """Add ``out``, 16 bytes that name the set of a text's word runs; null for texts without words."""
-    return with_columns(docs, text, [(out, T.BinaryType())], lambda texts: [digests(*sets_of(texts, size))])
+def name_sets(docs: DataFrame, text: str = "text", size: int = 5) -> DataFrame:
+    """Put ``cid``, 16 bytes that name the set of a text's word runs, in the text's place; null for texts without words."""
+    return with_columns(docs, text, [("cid", T.BinaryType())], lambda texts: [digests(*sets_of(texts, size))], keep_text=False)
 
 
 def classes(
@@ -244,7 +244,7 @@ def classes(
         ]
 
     added = [("cid", T.BinaryType()), ("size", T.LongType()), ("bands", T.ArrayType(T.LongType())), ("signature", T.BinaryType())]
-    signed = with_columns(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", added, sign).drop("text")
+    signed = with_columns(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", added, sign, keep_text=False)
     sets = written(
         signed.where("cid is not null")
         .groupBy("cid")
@@ -306,7 +306,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) ->
     and its own class. Null keys are never the least unless a class has no other.
     """
     found = classes(docs, key, text, **options)
-    rows = name_sets(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "text", options.get("size", 5)).drop("text")
+    rows = name_sets(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "text", options.get("size", 5))
     return rows.join(found, "cid", "left").select(
         "doc_id",
         F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
@@ -318,15 +318,19 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) ->
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each class the row with the least key, and one only.
 
-    Of rows with the same least key that with the least text stays. Texts without
-    words all stay.
+    Of rows with the same least key that with the least hash of its text stays.
+    Texts without words all stay. Which rows stay is decided on keys and hashes
+    alone; the texts are shuffled once, to be met by that decision.
     """
-    found = classes(docs, key, text, **options).select(F.col("cid").alias("__cid"), F.col("root").alias("__root"))
-    named = name_sets(docs, text, options.get("size", 5), "__cid")
-    rows = named.join(found, "__cid", "left")
-    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("text"))
-    rows = rows.withColumn("__order", order)
-    best = rows.where("__root is not null").groupBy(F.col("__root").alias("__best_root")).agg(F.min("__order").alias("__best"))
-    kept = rows.join(best, F.col("__root") == F.col("__best_root"), "left").where("__root is null or __order <=> __best")
-    single = kept.where("__root is not null").dropDuplicates(["__root"])
-    return kept.where("__root is null").unionByName(single).select(*(F.col(f"`{c}`") for c in docs.columns))
+    found = classes(docs, key, text, **options).select("cid", "root")
+    plain = F.col(text).cast("string")
+    slim = docs.select(F.col(key).alias("key"), F.xxhash64(plain).alias("hash"), plain.alias("text"))
+    rows = name_sets(slim, "text", options.get("size", 5)).join(found, "cid")
+    order = F.struct(F.col("key").isNull().alias("none"), "key", "hash")
+    stays = rows.groupBy("root").agg(F.min(order).alias("best")).select(F.col("best.key").alias("__key"), F.col("best.hash").alias("__best"))
+    worded = F.coalesce(plain.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    hashed = docs.where(worded).withColumn("__hash", F.xxhash64(plain))
+    met = hashed.join(stays, hashed[key].eqNullSafe(stays["__key"]) & (F.col("__hash") == F.col("__best")))
+    single = met.dropDuplicates(["__key", "__best"])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return single.select(*columns).unionByName(docs.where(~worded).select(*columns))
