@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from layerstats.functions.clean import integer_text
 
-# Fixed value: four-digit year, hyphen, one- or two-digit round.
-SEASON_TOKEN = "^([0-9]{4})-([0-9]{1,2})$"
+# Fixed value: four-digit year, hyphen, round; white space around them as around a bare number.
+SEASON_TOKEN = r"^\s*([0-9]{4})-([0-9]+)\s*$"
 
 
 def _part(column: Column | str, group: int) -> Column:

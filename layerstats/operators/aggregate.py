@@ -48,10 +48,15 @@ class Summary:
 
 
 def rounded_mean(column: str, scale: int = 2, exact: bool = False) -> Column:
+    """The mean to ``scale`` decimals; ``exact`` adds up decimals with six more than that.
+
+    A value that these cannot hold to its last digit is an error, never rounded.
+    """
     if exact:
-        value = F.col(column).try_cast("decimal(18,6)")
+        value = F.col(column).try_cast(f"decimal(30,{scale + 6})")
         refuse = F.raise_error(F.concat(F.lit(f"{column} has no exact mean: "), F.col(column)))
-        value = F.when(F.col(column).isNotNull(), F.coalesce(value, refuse))
+        held = F.when(value.cast("double") == F.col(column).cast("double"), value)
+        value = F.when(F.col(column).isNotNull(), F.coalesce(held, refuse))
         return F.round(F.avg(value), scale).cast("double")
     return F.round(F.avg(column), scale)
 

@@ -58,6 +58,7 @@ CARD_SUMS = {
     "cartao_vermelho": "total_cartoes_vermelhos",
 }
 
+# Fixed value: the columns that hold percentages.
 PERCENTAGES = ("posse_de_bola", "precisao_passes")
 
 
@@ -97,6 +98,7 @@ def football_plan(
         Summary(ROUND_SUMMARY, by_round, {"id_partida": ROUND_ENTRIES}, round_means),
         Summary(CARD_TOTALS, by_club, sums=CARD_SUMS),
     )
+    # The columns of each report and what it is sorted by.
     shots_first = (("media_chutes_no_alvo_por_jogo", "desc"),)
     shots = (
         *by_club,

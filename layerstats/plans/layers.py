@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -11,7 +12,7 @@ from layerstats.operators.aggregate import Summary, shared_summaries
 from layerstats.operators.conform import ConformSpec, conform
 from layerstats.operators.report import Report, run_report
 from layerstats.sources.delimited import ingest_csv
-from layerstats.sources.layers import BRONZE, GOLD, SILVER, LayerConfig, publish, read_layer
+from layerstats.sources.layers import BRONZE, GOLD, SILVER, LayerConfig, publish, publish_all, read_layer, stage
 
 
 @dataclass(frozen=True)
@@ -49,18 +50,20 @@ def build_gold(
 ) -> dict[str, DataFrame]:
     """All summary tables from a single scan of Silver, by default read by path.
 
+    None of them takes its place before all are written.
+
     ``sort`` writes them in key order. Tables have no order and every report
     sorts for itself, so it is off unless somebody reads the files directly.
     """
     if silver is None:
         silver = read_layer(spark, cfg, SILVER, plan.silver)
     with shared_summaries(silver, plan.summaries, f"{cfg.base}/staging") as tables:
-        return {
-            summary.name: publish(
-                tables[summary.name], cfg, GOLD, summary.name, sort_by=summary.keys if sort else ()
-            )
-            for summary in plan.summaries
-        }
+        names = [summary.name for summary in plan.summaries]
+        keys = [summary.keys if sort else () for summary in plan.summaries]
+        staged = [
+            partial(stage, tables[name], cfg, GOLD, name, sort_by=by) for name, by in zip(names, keys, strict=True)
+        ]
+        return dict(zip(names, publish_all(spark, staged), strict=True))
 
 
 def run_layers(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from layerstats.sources.shared import file_system, remove_dir, replace_dir
+
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
 
@@ -15,9 +18,9 @@ class LayerConfig:
     """Tables live at ``base/layer/name`` and in the catalog as ``[database.]name``.
 
     ``provider`` is any file-based table format on the cluster. ``parquet`` and
-    ``orc`` come with Spark; they are emptied before they are rewritten, so a
-    run that dies half-way leaves the table to be rebuilt from the layer before
-    it. ``delta`` swaps versions atomically where its package is installed.
+    ``orc`` come with Spark; a new version is written beside the old one and
+    takes its place when it is complete. ``delta`` swaps versions by itself
+    where its package is installed.
     """
 
     base: str
@@ -31,43 +34,124 @@ class LayerConfig:
         return f"`{self.database}`.`{name}`" if self.database else f"`{name}`"
 
 
-def publish(
+@dataclass(frozen=True)
+class Staged:
+    """A table that is written in full but not yet in its place."""
+
+    cfg: LayerConfig
+    name: str
+    path: str
+    written: str
+    columns: tuple[tuple[str, str], ...]
+    partition_by: tuple[str, ...]
+
+
+def stage(
     df: DataFrame,
     cfg: LayerConfig,
     layer: str,
     name: str,
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
-) -> DataFrame:
-    """Replace a layer's table, data and schema, and return it by name.
-
-    ``partition_by`` lays the files out by those columns after an adaptive
-    rebalance on them: without it every task writes a file per value it meets,
-    and with a plain repartition one hot value is one task's work. Blank text in
-    such a column reads back as NULL. ``sort_by`` puts the table in total order,
-    at the price of a range shuffle; with ``partition_by``, each file.
-    """
-    path, table = cfg.path(layer, name), cfg.table(name)
-    if _reads(df, path):
-        raise ValueError(f"{path} is read by the plan that would overwrite it")
-    catalog = df.sparkSession.catalog
-    if catalog.tableExists(table) and catalog.getTable(table).tableType != "EXTERNAL":
-        raise ValueError(f"{table} exists and is not a table published to a path")
+    move: bool = False,
+) -> Staged:
+    """Write a layer's table beside the one it will replace; see :func:`publish`."""
+    spark, path, table = df.sparkSession, cfg.path(layer, name), cfg.table(name)
+    if spark.catalog.tableExists(table):
+        if spark.catalog.getTable(table).tableType != "EXTERNAL":
+            raise ValueError(f"{table} exists and is not a table published to a path")
+        place = _location(spark, table)
+        if not move and place != file_system(spark, path)[1].toString():
+            raise ValueError(f"{table} is published at {place}; move=True takes its name to {path}")
     if partition_by:
+        if spark.conf.get("spark.sql.adaptive.enabled") != "true":
+            raise ValueError("partition_by needs spark.sql.adaptive.enabled, which splits large partitions")
         df = df.hint("rebalance", *partition_by)
         if sort_by:
             df = df.sortWithinPartitions(*partition_by, *sort_by)
     elif sort_by:
         df = df.orderBy(*sort_by)
-    writer = df.write.format(cfg.provider).mode("overwrite").option("path", path)
+    columns = tuple((f.name, f.dataType.simpleString()) for f in df.schema.fields)
+    new = path if cfg.provider == "delta" else f"{cfg.base.rstrip('/')}/staging/{name}-{uuid.uuid4().hex[:12]}"
+    writer = df.write.format(cfg.provider).mode("overwrite")
     if cfg.provider == "delta":
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    # An overwriting saveAsTable replaces the catalog entry too; CREATE TABLE
-    # IF NOT EXISTS would keep the columns of the first run for ever.
-    writer.saveAsTable(table)
-    return df.sparkSession.table(table)
+    try:
+        writer.save(new)
+    except Exception:
+        if new != path:
+            remove_dir(spark, new)
+        raise
+    return Staged(cfg, name, path, new, columns, tuple(partition_by))
+
+
+def switch(spark: SparkSession, staged: Staged) -> DataFrame:
+    """Put a staged table in its place, in the folder and in the catalog, and return it by name."""
+    cfg, table = staged.cfg, staged.cfg.table(staged.name)
+    if staged.written != staged.path:
+        system, parent = file_system(spark, staged.path)
+        system.mkdirs(parent.getParent())
+        replace_dir(spark, staged.written, staged.path)
+    # The catalog entry goes with the data: CREATE TABLE IF NOT EXISTS would
+    # keep the columns of the first run for ever.
+    spark.sql(f"drop table if exists {table}")
+    if cfg.provider == "delta":
+        spark.sql(f"create table {table} using delta location '{staged.path}'")
+        return spark.table(table)
+    # Partition columns come last, as a table that was written has them.
+    order = sorted(staged.columns, key=lambda c: c[0] in staged.partition_by)
+    columns = ", ".join(f"`{name}` {kind}" for name, kind in order)
+    parts = ", ".join(f"`{name}`" for name in staged.partition_by)
+    spark.sql(
+        f"create table {table} ({columns}) using {cfg.provider}"
+        + (f" partitioned by ({parts})" if parts else "")
+        + f" location '{staged.path}'"
+    )
+    if parts:
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshByPath(staged.path)
+    return spark.table(table)
+
+
+def publish(
+    df: DataFrame,
+    cfg: LayerConfig,
+    layer: str,
+    name: str,
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    move: bool = False,
+) -> DataFrame:
+    """Replace a layer's table, data and schema, and return it by name.
+
+    The new version is written in full before it takes the old one's place, so an
+    error leaves the old table as it was, and a plan may read the table it replaces.
+
+    ``partition_by`` lays the files out by those columns after an adaptive
+    rebalance on them: without it every task writes a file per value it meets,
+    and with a plain repartition one hot value is one task's work. It is refused
+    where adaptive execution is off. Blank text in such a column reads back as
+    NULL. ``sort_by`` puts the table in total order, at the price of a range
+    shuffle; with ``partition_by``, each file. A table of that name at another
+    path is refused unless ``move`` says that the name goes to the new one.
+    """
+    return switch(df.sparkSession, stage(df, cfg, layer, name, partition_by, sort_by, move))
+
+
+def publish_all(spark: SparkSession, staged: Sequence[Callable[[], Staged]]) -> list[DataFrame]:
+    """Stage all tables, and only then put all in their places."""
+    done: list[Staged] = []
+    try:
+        for make in staged:
+            done.append(make())
+    except Exception:
+        for table in done:
+            if table.written != table.path:
+                remove_dir(spark, table.written)
+        raise
+    return [switch(spark, table) for table in done]
 
 
 def read_layer(spark: SparkSession, cfg: LayerConfig, layer: str, name: str) -> DataFrame:
@@ -79,31 +163,6 @@ def read_layer(spark: SparkSession, cfg: LayerConfig, layer: str, name: str) ->
     return spark.read.format(cfg.provider).load(cfg.path(layer, name))
 
 
-def _reads(df: DataFrame, path: str) -> bool:
-    """Does a file scan of ``df`` start at ``path``, above or below it?
-
-    Spark refuses this itself only for scans by table name; for scans by path
-    it empties the folder first and fails to read it afterwards. Compares the
-    scans' root folders: listing their files would grow with the data.
-    """
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target = target.getFileSystem(conf).makeQualified(target).toString() + "/"
-    root_plan = df._jdf.queryExecution().analyzed()
-    for plan in (root_plan, *_items(root_plan.subqueriesAll())):
-        for leaf in _items(plan.collectLeaves()):
-            if leaf.getClass().getSimpleName() != "LogicalRelation":
-                continue
-            relation = leaf.relation()
-            if relation.getClass().getSimpleName() != "HadoopFsRelation":
-                continue
-            for root in _items(relation.location().rootPaths()):
-                root = root.getFileSystem(conf).makeQualified(root).toString() + "/"
-                if root.startswith(target) or target.startswith(root):
-                    return True
-    return False
-
-
-def _items(seq):
-    return [seq.apply(i) for i in range(seq.size())]
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"describe table extended {table}").where("col_name = 'Location'").collect()
+    return file_system(spark, rows[0]["data_type"])[1].toString() if rows else ""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -12,18 +11,37 @@ def shared_dir(spark: SparkSession, label: str, otherwise: str | None = None) ->
     """A new folder name under the session's ``spark.checkpoint.dir``.
 
     Where that is unset it is under ``otherwise``, a folder the caller knows to
-    be shared. Without either, a local session gets a folder of this machine; a
-    cluster session is refused, since its executors could not see one.
+    be shared, and without either in the warehouse, which every executor reaches.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or otherwise
+    root = spark.conf.get("spark.checkpoint.dir", None) or otherwise or spark.conf.get("spark.sql.warehouse.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="layerstats-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def remove_dir(spark: SparkSession, path: str) -> None:
-    """Delete a folder named by :func:`shared_dir`."""
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path in full."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system, system.makeQualified(folder)
+
+
+def replace_dir(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``; what was there goes only once ``new`` stands."""
+    system, source = file_system(spark, new)
+    _, target = file_system(spark, path)
+    _, old = file_system(spark, f"{new}-old")
+    if system.exists(target) and not system.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not system.rename(source, target):
+        if system.exists(old):
+            system.rename(old, target)
+        raise OSError(f"cannot move {new} to {path}")
+    if system.exists(old):
+        system.delete(old, True)
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all below it, if it is there."""
+    system, folder = file_system(spark, path)
+    system.delete(folder, True)

@@ -156,7 +156,9 @@ def test_exact_means_leave_out_nulls_and_refuse_what_they_cannot_hold(spark, ans
 
     assert mean(1.0, None, 2.01) == 1.51
     assert mean(None) is None
-    for value in (float("nan"), float("inf"), 1e12):
+    assert mean(1.0, 1e12) == 500000000000.5
+    assert mean(0.0000004, 0.0000004) == 0.0
+    for value in (float("nan"), float("inf"), 1e25, 1 / 3):
         with pytest.raises(PySparkException, match="no exact mean"):
             mean(1.0, value)
 

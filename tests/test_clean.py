@@ -133,7 +133,7 @@ def test_digits_come_from_the_printed_form(spark, kind, digits):
 
 
 def test_season_token(spark, ansi):
-    texts = ["2023-1", "2023-38", "2024-05", "7", "", None, "2023-", "23-1", "2023-100", "x"]
+    texts = ["2023-1", "2023-38", "2024-05", "7", "", None, "2023-", "23-1", "2023-100", " 2023-5 ", "x"]
     got = evaluate(spark, texts, season_of("t", 2000), season_of("t"), round_of("t"))
     assert got == [
         (2023, 2023, 1),
@@ -144,6 +144,7 @@ def test_season_token(spark, ansi):
         (2000, None, None),
         (2000, None, None),
         (2000, None, None),
-        (2000, None, None),
+        (2023, 2023, 100),
+        (2023, 2023, 5),
         (2000, None, None),
     ]

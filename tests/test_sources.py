@@ -129,22 +129,31 @@ def test_dropping_the_table_keeps_its_files(spark, cfg):
     assert read_layer(spark, cfg, GOLD, "t").count() == 10
 
 
-def test_self_overwrite_is_refused_and_loses_nothing(spark, cfg):
+def test_a_table_may_be_made_from_itself(spark, cfg):
     publish(spark.range(10), cfg, SILVER, "t")
     by_path = read_layer(spark, cfg, SILVER, "t")
-    top = by_path.agg(F.max("id")).scalar()
-    for df in (
-        by_path,
-        spark.table(cfg.table("t")),
-        by_path.groupBy().count(),
-        spark.range(5).where(F.col("id") < top),
-        by_path.union(spark.range(1)),
-    ):
-        with pytest.raises(ValueError, match="overwrite"):
-            publish(df, cfg, SILVER, "t")
-    assert spark.table(cfg.table("t")).count() == 10
-    # A neighbour whose path merely starts the same is no conflict.
-    assert publish(by_path, cfg, SILVER, "t2").count() == 10
+    assert publish(by_path.where("id < 7"), cfg, SILVER, "t").count() == 7
+    assert publish(spark.table(cfg.table("t")).where("id < 3"), cfg, SILVER, "t").count() == 3
+    assert read_layer(spark, cfg, SILVER, "t").count() == 3
+
+
+@pytest.mark.parametrize("provider", ["parquet", "orc"])
+def test_a_failed_replacement_leaves_the_old_table(spark, cfg, provider):
+    cfg = LayerConfig(cfg.base, provider, cfg.database)
+    publish(spark.range(5), cfg, GOLD, "t")
+    bad = spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("no"))).otherwise("x").alias("x"))
+    with pytest.raises(PySparkException):
+        publish(bad, cfg, GOLD, "t")
+    assert spark.table(cfg.table("t")).count() == read_layer(spark, cfg, GOLD, "t").count() == 5
+
+
+def test_partitioning_needs_adaptive_execution(spark, cfg):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="adaptive"):
+            publish(spark.range(5), cfg, GOLD, "t", partition_by=("id",))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_other_tables_are_left_alone(spark, cfg):
@@ -155,10 +164,13 @@ def test_other_tables_are_left_alone(spark, cfg):
         with pytest.raises(ValueError, match="not a table published"):
             publish(spark.range(1), cfg, GOLD, name)
     assert spark.table(cfg.table("mine")).count() == 4
-    # A table published elsewhere before follows its configuration; its old files stay.
+    # A table published elsewhere keeps its name unless told to move; its old files stay.
     publish(spark.range(10), cfg, GOLD, "moved")
     new = LayerConfig(f"{cfg.base}-new", database=cfg.database)
-    assert publish(spark.range(2), new, GOLD, "moved").count() == 2
+    with pytest.raises(ValueError, match="move=True"):
+        publish(spark.range(2), new, GOLD, "moved")
+    assert spark.table(cfg.table("moved")).count() == 10
+    assert publish(spark.range(2), new, GOLD, "moved", move=True).count() == 2
     assert read_layer(spark, cfg, GOLD, "moved").count() == 10
 
 
@@ -232,18 +244,17 @@ def test_shared_dir_comes_from_the_session(spark):
 
 
 class Session:
-    """As much of a session without the setting as naming a folder takes."""
+    """As much of a session as naming a folder takes."""
 
-    def __init__(self, master):
-        self.sparkContext = SimpleNamespace(master=master)
-        self.conf = SimpleNamespace(get=lambda name, default: default)
+    def __init__(self, **settings):
+        self.conf = SimpleNamespace(get=lambda name, default: settings.get(name.split(".")[-2], default))
 
 
 def test_shared_dir_without_the_setting():
-    assert shared_dir(Session("yarn"), "x", "/lake/").startswith("/lake/x-")
-    assert "layerstats-" in shared_dir(Session("local[2]"), "x")
+    assert shared_dir(Session(), "x", "/lake/").startswith("/lake/x-")
+    assert shared_dir(Session(warehouse="/house"), "x").startswith("/house/x-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(Session("yarn"), "x")
+        shared_dir(Session(), "x")
 
 
 def test_failed_publish_raises(spark, cfg):
