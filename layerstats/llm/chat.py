@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from layerstats.llm.store import written
+
 OPEN, AFTER_ROLE, CLOSE = "### ", ": ", " </turn>\n"
 #: Control strings and what stands for them inside texts; the backslash comes first.
 ESCAPES = (("\\", "\\b"), ("###", "\\h"), ("</turn>", "\\t"))
@@ -65,7 +67,8 @@ def windows(
     such a turn has a window of its own, and no text is ever cut.
 
     No step needs a whole conversation in one task: turns are summed within runs
-    of ``RUN`` turn numbers, then the runs are.
+    of ``RUN`` turn numbers, then the runs are. Turns and windows are written
+    tables in the shared folder, so the call itself runs Spark jobs.
     """
     if not 0 <= history < budget:
         raise ValueError("history must be at least 0 and less than budget")
@@ -86,6 +89,7 @@ def windows(
     rows = rows.withColumns(
         {"place": F.row_number().over(in_run), "token_end": F.sum("tokens").over(so_far), "char_end": F.sum("chars").over(so_far)}
     )
+    rows = written(rows, "turns")  # read three times below
     runs = rows.groupBy("conv", "run").agg(F.count("*").alias("n"), F.sum("tokens").alias("t"), F.sum("chars").alias("c"))
     earlier = Window.partitionBy("conv").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("conv")
@@ -128,7 +132,7 @@ def windows(
         F.max("n_conv").alias("n_conv"),
         F.bool_or("system").alias("only_system"),
     )
-    spans = spans.withColumn("tail", F.filter("turns", lambda t: (F.col("end") - t["start"] <= history)))
+    spans = written(spans, "spans").withColumn("tail", F.filter("turns", lambda t: (F.col("end") - t["start"] <= history)))
     before = spans.where(F.size("tail") > 0).select(
         F.col("conv").alias("b_conv"), F.col("end").alias("b_end"),
         F.array_join(F.transform("tail", lambda t: t["body"]), "").alias("b_body"),
