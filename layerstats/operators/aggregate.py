@@ -21,9 +21,9 @@ class Summary:
     ``counts`` counts non-NULL values, ``means`` are rounded half up to
     ``scale`` digits, ``sums`` add up. ``exact`` takes the means in decimal
     arithmetic, which gives the same digits whatever order the rows are added
-    in; values are taken to six decimals, and those that are not finite or not
-    below 10^12 are an error. Means of whole numbers do not need it while a
-    group's sum stays below 2^53.
+    in; a value that needs more than six decimals beyond ``scale``, or is not
+    finite, is an error. Means of whole numbers do not need it while a group's
+    sum stays below 2^53.
     """
 
     name: str

@@ -68,12 +68,15 @@ def football_plan(
     season: int | Column = SEASON,
     period_expression: Column | None = None,
     infer_schema: bool = False,
+    exact: bool = False,
 ) -> LayerPlan:
     """The plan for one statistics file.
 
     ``season`` is the season all rows belong to, or an expression for files
     holding several, such as ``season_of("rodada_texto", 2023)`` with
-    ``round_of("rodada_texto")`` as ``period_expression``.
+    ``round_of("rodada_texto")`` as ``period_expression``. ``exact`` takes the
+    means in decimal arithmetic, so that fractional percentages have the same
+    mean in whatever order rows arrive; a percentage of ``NaN`` is an error then.
     """
     statistics = RAW_COLUMNS[3:]
     measures = tuple(
@@ -94,8 +97,8 @@ def football_plan(
     by_club, by_round = (SEASON_NAME, "clube"), (SEASON_NAME, ROUND_NAME)
     round_means = {name: f"media_{name}_rodada" for name in statistics}
     summaries = (
-        Summary(CLUB_SEASON, by_club, {"id_partida": CLUB_MATCHES}, CLUB_MEANS),
-        Summary(ROUND_SUMMARY, by_round, {"id_partida": ROUND_ENTRIES}, round_means),
+        Summary(CLUB_SEASON, by_club, {"id_partida": CLUB_MATCHES}, CLUB_MEANS, exact=exact),
+        Summary(ROUND_SUMMARY, by_round, {"id_partida": ROUND_ENTRIES}, round_means, exact=exact),
         Summary(CARD_TOTALS, by_club, sums=CARD_SUMS),
     )
     # The columns of each report and what it is sorted by.

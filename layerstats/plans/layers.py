@@ -30,7 +30,11 @@ class LayerPlan:
 
 
 def build_bronze(spark: SparkSession, path: str, cfg: LayerConfig, plan: LayerPlan) -> DataFrame:
-    raw = ingest_csv(spark, path, plan.schema, plan.infer_schema, plan.delimiter)
+    """The files as they are; with inference, period and entity are text still."""
+    spec = plan.spec
+    text = {spec.period_text.lower(), spec.entity.lower()}
+    text |= {old for old, new in spec.renames.items() if new.lower() in text}
+    raw = ingest_csv(spark, path, plan.schema, plan.infer_schema, plan.delimiter, as_text=text)
     return publish(raw, cfg, BRONZE, plan.bronze)
 
 

@@ -2,10 +2,36 @@
 
 from __future__ import annotations
 
-from layerstats_checks.raw import PERCENTS, RAW, STATISTICS, raw_columns
-from layerstats.plans import football
-
-FOOTBALL_NAMES = dict(zip(list(RAW)[:13], football.RAW_COLUMNS))
+from layerstats_checks.raw import FINE_PERCENT, PERCENTS, RAW, STATISTICS, raw_columns
+
+# Column names of the football file, and of the means per club.
+FOOTBALL_NAMES = {
+    "match_id": "partida_id",
+    "round_text": "rodata",
+    "club": "clube",
+    "shots": "chutes",
+    "shots_on_target": "chutes_no_alvo",
+    "possession": "posse_de_bola",
+    "passes": "passes",
+    "pass_accuracy": "precisao_passes",
+    "fouls": "faltas",
+    "yellow_cards": "cartao_amarelo",
+    "red_cards": "cartao_vermelho",
+    "offsides": "impedimentos",
+    "corners": "escanteios",
+}
+FOOTBALL_MEANS = {
+    "shots": "media_chutes_por_jogo",
+    "shots_on_target": "media_chutes_no_alvo_por_jogo",
+    "possession": "media_posse_de_bola",
+    "passes": "media_passes_por_jogo",
+    "pass_accuracy": "media_precisao_passes",
+    "fouls": "media_faltas_por_jogo",
+    "yellow_cards": "media_cartao_amarelo_por_jogo",
+    "red_cards": "media_cartao_vermelho_por_jogo",
+    "offsides": "media_impedimentos_por_jogo",
+    "corners": "media_escanteios_por_jogo",
+}
 
 
 def mean(x: str) -> str:
@@ -27,13 +53,16 @@ def _cleaned(name: str) -> str:
     return percent_value(name) if name in PERCENTS else count_value(name)
 
 
-RAW_SQL = f"select {', '.join(raw_columns())} from lineitem"
+def silver_sql(**instead: str) -> str:
+    return (
+        "select try_cast(match_id as int) as match_id, round_text, trim(club) as club, "
+        + ", ".join(f"{_cleaned(name)} as {name}" for name in STATISTICS)
+        + ", season, try_cast(round_text as int) as round_no "
+        + f"from (select {', '.join(raw_columns(**instead))} from lineitem)"
+    )
 
-SILVER = (
-    "select try_cast(match_id as int) as match_id, round_text, trim(club) as club, "
-    + ", ".join(f"{_cleaned(name)} as {name}" for name in STATISTICS)
-    + f", season, try_cast(round_text as int) as round_no from ({RAW_SQL})"
-)
+
+SILVER = silver_sql()
 
 MEANS = ", ".join(f"{mean(name)} as avg_{name}" for name in STATISTICS)
 
@@ -71,11 +100,19 @@ FOOTBALL_SILVER = (
     + ", ".join(f"{name} as {FOOTBALL_NAMES[name]}" for name in STATISTICS)
     + f", 2023 as ano_temporada, round_no as rodada_numero from ({SILVER})"
 )
-FOOTBALL_CLUBS = (
-    "select ano_temporada, clube, count(id_partida) as jogos_disputados, "
-    + ", ".join(f"{mean(source)} as {alias}" for source, alias in football.CLUB_MEANS.items())
-    + f" from ({FOOTBALL_SILVER}) group by ano_temporada, clube"
-)
+
+
+def football_clubs(silver: str) -> str:
+    return (
+        "select 2023 as ano_temporada, club as clube, count(match_id) as jogos_disputados, "
+        + ", ".join(f"{mean(name)} as {alias}" for name, alias in FOOTBALL_MEANS.items())
+        + f" from ({silver}) group by club"
+    )
+
+
+FOOTBALL_CLUBS = football_clubs(SILVER)
+# Inference reads ``12.340`` as a number, of which ``12.34`` is the text.
+INFERRED_PASSES = f"cast(try_cast({RAW['passes']} as double) as varchar)"
 FOOTBALL_ROUNDS = (
     "select ano_temporada, rodada_numero, count(id_partida) as total_entradas_rodada, "
     + ", ".join(
@@ -98,10 +135,12 @@ FOOTBALL_SHOTS = (
 
 ORACLES = {
     "csv_roundtrip": "select * from part",
-    "csv_inferred": "select * from customer",
+    "csv_inferred": "select *, 'c_custkey int, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string' as inferred_types from customer",
     "ingest_provenance": "select *, 'events_csv' as source_folder from events",
     "layer_readback": "select * from orders",
     "publish_overwrite": TOTALS,
+    "publish_sorted": f"select *, true as in_order from ({TOTALS})",
     "publish_partitioned": SILVER,
     "clean_counts_brand": f"select p_partkey, {count_value('p_brand')} as brand_no from part",
     "clean_counts_name": f"select p_partkey, {count_value('p_name')} as name_no from part",
@@ -117,13 +156,20 @@ ORACLES = {
     "integer_text": "select l_orderkey, l_linenumber, cast(l_quantity as int) as quantity, "
     "cast(trunc(l_extendedprice) as int) as price, "
     "cast(null as int) as flag from lineitem",
-    "trim_entity": "select c_custkey, c_name as name, "
-    "c_name || chr(9) as name_tab from customer",
-    "rename_columns": "select s_suppkey as id, s_name as supplier_name, s_nationkey, s_acctbal "
-    "from supplier",
+    "trim_entity": "select cast(c_custkey as int) as c_custkey, "
+    "case when c_custkey % 2 = 0 then c_name || chr(9) else c_name end as name from customer",
+    "rename_columns": "select cast(s_suppkey as int) as id, cast(s_nationkey as varchar) as nation, "
+    "trim(s_name) as supplier_name, cast(s_acctbal as double) as balance, "
+    "2023 as season, cast(s_nationkey as int) as nation_no from supplier",
     "conform": SILVER,
     "season_token": "select o_orderkey, cast(year(o_orderdate) as int) as season, "
     "cast(month(o_orderdate) as int) as round_no from orders",
+    "season_token_wide": "select o_orderkey, cast(year(o_orderdate) as int) as season, "
+    "cast(dayofyear(o_orderdate) as int) as round_no from orders",
+    "season_token_inferred": "select cast(year(l_shipdate) as int) as ano_temporada, "
+    "cast(month(l_shipdate) as int) as rodada_numero, "
+    f"count(match_id) as total_entradas_rodada from (select l_shipdate, try_cast({RAW['match_id']} as int) "
+    "as match_id from lineitem) group by year(l_shipdate), month(l_shipdate)",
     "profile": PROFILE,
     "round_summary": ROUND_SUMMARY,
     "totals": TOTALS,
@@ -132,6 +178,9 @@ ORACLES = {
         f"{mean(x)} as avg_{x}" for x in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     )
     + " from lineitem group by l_returnflag, l_linestatus",
+    "profile_exact_fine": "select l_returnflag, count(l_orderkey) as lines, "
+    "((20 * sum(l_linenumber) + count(l_linenumber)) // (2 * count(l_linenumber))) / 100000000.0 "
+    "as avg_value from lineitem group by l_returnflag",
     "summaries_one_pass": "select 'club' as level, p.season, p.club as member, matches as events, "
     "avg_shots, avg_possession, avg_passes, total_yellow_cards, total_red_cards "
     f"from ({PROFILE}) p join ({TOTALS}) t using (season) "
@@ -164,6 +213,11 @@ ORACLES = {
     "layer_sample": "select least(count(*), 5) as found_rows from orders",
     "layers_end_to_end": TOP_PROFILE,
     "football_clubs": FOOTBALL_CLUBS,
+    "football_clubs_exact": football_clubs(silver_sql(pass_accuracy=FINE_PERCENT)),
+    "football_inferred": football_clubs(silver_sql(passes=INFERRED_PASSES)),
+    "football_source": "select id_partida, clube, chutes_no_alvo, "
+    "case when chutes_no_alvo % 2 = 1 then 'odd' else 'even' end as origem_arquivo "
+    f"from ({FOOTBALL_SILVER})",
     "football_rounds": FOOTBALL_ROUNDS,
     "football_cards": FOOTBALL_CARDS,
     "football_club_shots": top(

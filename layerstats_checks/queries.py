@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from layerstats_checks.oracles import FOOTBALL_NAMES
-from layerstats_checks.raw import PERCENTS, STATISTICS, raw_columns
+from layerstats_checks.raw import FINE_PERCENT, PERCENTS, STATISTICS, TOKEN, raw_columns
 from layerstats import (
     BRONZE,
     GOLD,
@@ -17,6 +17,8 @@ from layerstats import (
     Measure,
     Report,
     Summary,
+    build_bronze,
+    build_silver,
     conform,
     count_value,
     football_plan,
@@ -123,7 +125,8 @@ def csv_inferred(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
     path = write_csv(customer, shared_dir(spark, "csv_inferred"))
     inferred = ingest_csv(spark, path, infer_schema=True)
-    return typed_like(inferred, customer)
+    types = ", ".join(f"{name} {kind}" for name, kind in inferred.drop("source_file").dtypes)
+    return typed_like(inferred, customer, F.lit(types).alias("inferred_types"))
 
 
 def ingest_provenance(spark, sf_dir):
@@ -149,6 +152,26 @@ def publish_overwrite(spark, sf_dir):
     return spark.table(cfg.table("statistics"))
 
 
+def publish_sorted(spark, sf_dir):
+    """Whether each row comes after those before it, in its file and in the files before."""
+    cfg = scratch_config(spark, "publish_sorted")
+    sums = totals(silver(spark, sf_dir), BY_CLUB, SUMS)
+    rows = publish(sums, cfg, GOLD, "statistics", sort_by=BY_CLUB).select(
+        "*",
+        F.struct(*BY_CLUB).alias("key"),
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.row_index").alias("place"),
+    )
+    files = rows.groupBy("file").agg(F.max("key").alias("last"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("file", F.max("last").over(earlier).alias("before"))
+    above = F.lag("key").over(Window.partitionBy("file").orderBy("place"))
+    rows = rows.withColumn("above", above).join(files, "file")
+    return rows.select(
+        *sums.columns, (F.col("key") > F.coalesce("above", "before")).alias("in_order")
+    ).na.fill({"in_order": True})
+
+
 def publish_partitioned(spark, sf_dir):
     cfg = scratch_config(spark, "publish_partitioned")
     return publish(silver(spark, sf_dir), cfg, SILVER, "statistics", partition_by=("season",))
@@ -212,18 +235,31 @@ def integer_text_query(spark, sf_dir):
 
 def trim_entity(spark, sf_dir):
     """Spaces go, at both ends; a tab stays."""
-    padded = F.concat(F.lit("  "), F.col("c_name"), F.lit(" "))
-    tabbed = F.concat(F.lit(" "), F.col("c_name"), F.lit("\t "))
-    return table(spark, sf_dir, "customer").select(
-        "c_custkey", F.trim(padded).alias("name"), F.trim(tabbed).alias("name_tab")
-    )
+    ending = F.when(F.col("c_custkey") % 2 == 0, F.lit("\t ")).otherwise(" ")
+    padded = F.concat(F.lit("  "), F.col("c_name"), ending)
+    rows = table(spark, sf_dir, "customer").withColumn("name", padded)
+    spec = ConformSpec("c_custkey", "name", "c_nationkey", "nation_no", (), 2023)
+    return conform(rows, spec).select("c_custkey", "name")
 
 
 def rename_columns(spark, sf_dir):
     """Absent names are skipped, case does not matter."""
-    return table(spark, sf_dir, "supplier").withColumnsRenamed(
-        {"S_SUPPKEY": "id", "s_name": "supplier_name", "s_phone": "phone"}
+    spec = ConformSpec(
+        event="id",
+        entity="supplier_name",
+        period_text="nation",
+        period_number="nation_no",
+        measures=(Measure("balance", "strict_double"),),
+        season=2023,
+        renames={
+            "S_SUPPKEY": "id",
+            "s_name": "supplier_name",
+            "s_nationkey": "nation",
+            "s_acctbal": "balance",
+            "s_phone": "phone",
+        },
     )
+    return conform(table(spark, sf_dir, "supplier"), spec)
 
 
 def season_token(spark, sf_dir):
@@ -233,6 +269,30 @@ def season_token(spark, sf_dir):
     )
 
 
+def season_token_wide(spark, sf_dir):
+    """Rounds of up to three digits, with white space around the token."""
+    token = F.concat(F.lit(" "), F.date_format("o_orderdate", "yyyy-D"), F.lit(" "))
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", season_of(token).alias("season"), round_of(token).alias("round_no")
+    )
+
+
+def season_token_inferred(spark, sf_dir):
+    """Tokens that look like dates, through a Bronze with inferred types."""
+    cfg = scratch_config(spark, "season_token_inferred")
+    path = write_csv(football_raw(spark, sf_dir, round_text=TOKEN), f"{cfg.base}/landing")
+    plan = football_plan(
+        season=season_of("rodada_texto", 1900),
+        period_expression=round_of("rodada_texto"),
+        infer_schema=True,
+    )
+    tables = run_layers(spark, path, cfg, plan)
+    keep_gold(spark, cfg, plan)
+    return tables[plan.summaries[1].name].select(
+        "ano_temporada", "rodada_numero", "total_entradas_rodada"
+    )
+
+
 # -- summaries ---------------------------------------------------------------
 
 
@@ -262,6 +322,14 @@ def profile_exact(spark, sf_dir):
     )
 
 
+def profile_exact_fine(spark, sf_dir):
+    """Values and means of more than six decimals."""
+    value = (F.col("l_linenumber") / F.lit(10_000_000)).alias("value")
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", value)
+    keys = ("l_returnflag",)
+    return profile(rows, keys, "l_orderkey", ("value",), count_name="lines", scale=8, exact=True)
+
+
 def summaries_one_pass(spark, sf_dir):
     """Tables of two levels, with means and totals, from one aggregation."""
     cfg = scratch_config(spark, "summaries_one_pass")
@@ -357,21 +425,44 @@ def layers_end_to_end(spark, sf_dir):
     return run_reports(spark, cfg, plan)["top_profile"]
 
 
-def football_raw(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").selectExpr(*raw_columns(FOOTBALL_NAMES))
+def football_raw(spark, sf_dir, **instead):
+    columns = raw_columns(FOOTBALL_NAMES, **instead)
+    return table(spark, sf_dir, "lineitem").selectExpr(*columns)
 
 
-def football_summary(index: int):
+def football_summary(index: int, exact: bool = False, **instead: str):
     """A football summary straight from the raw rows."""
 
     def query(spark, sf_dir):
-        plan = football_plan()
-        rows = football_raw(spark, sf_dir).withColumn("source_file", F.lit("lineitem"))
+        plan = football_plan(exact=exact)
+        rows = football_raw(spark, sf_dir, **instead).withColumn("source_file", F.lit("lineitem"))
         return summarise(conform(rows, plan.spec), plan.summaries[index])
 
     return query
 
 
+def football_inferred(spark, sf_dir):
+    """CSV files to Gold through a Bronze with inferred types."""
+    cfg = scratch_config(spark, "football_inferred")
+    path = write_csv(football_raw(spark, sf_dir), f"{cfg.base}/landing")
+    plan = football_plan(infer_schema=True)
+    tables = run_layers(spark, path, cfg, plan)
+    keep_gold(spark, cfg, plan)
+    return tables[plan.summaries[0].name]
+
+
+def football_source(spark, sf_dir):
+    """The folder in ``origem_arquivo`` of Silver rows that came from two folders."""
+    cfg = scratch_config(spark, "football_source")
+    rows, odd = football_raw(spark, sf_dir), F.col("chutes_no_alvo") % 2 == 1
+    write_csv(rows.where(odd), f"{cfg.base}/landing/odd")
+    write_csv(rows.where(~odd), f"{cfg.base}/landing/even")
+    plan = football_plan()
+    build_bronze(spark, f"{cfg.base}/landing/*", cfg, plan)
+    folder = F.regexp_extract("origem_arquivo", "([^/]+)/[^/]+$", 1).alias("origem_arquivo")
+    return build_silver(spark, cfg, plan).select("id_partida", "clube", "chutes_no_alvo", folder)
+
+
 def football_report(name: str):
     """A football report over tables built by a whole run from CSV files."""
 
@@ -393,6 +484,7 @@ QUERIES = {
     "ingest_provenance": ingest_provenance,
     "layer_readback": layer_readback,
     "publish_overwrite": publish_overwrite,
+    "publish_sorted": publish_sorted,
     "publish_partitioned": publish_partitioned,
     "clean_counts_brand": clean_counts_brand,
     "clean_counts_name": clean_counts_name,
@@ -406,10 +498,13 @@ QUERIES = {
     "rename_columns": rename_columns,
     "conform": silver,
     "season_token": season_token,
+    "season_token_wide": season_token_wide,
+    "season_token_inferred": season_token_inferred,
     "profile": club_profile,
     "round_summary": round_summary,
     "totals": club_totals,
     "profile_exact": profile_exact,
+    "profile_exact_fine": profile_exact_fine,
     "summaries_one_pass": summaries_one_pass,
     "latest_season": latest_season,
     "top_profile": top_profile,
@@ -420,6 +515,9 @@ QUERIES = {
     "layer_sample": layer_sample,
     "layers_end_to_end": layers_end_to_end,
     "football_clubs": football_summary(0),
+    "football_clubs_exact": football_summary(0, exact=True, pass_accuracy=FINE_PERCENT),
+    "football_inferred": football_inferred,
+    "football_source": football_source,
     "football_rounds": football_summary(1),
     "football_cards": football_summary(2),
     "football_club_shots": football_report("club_shots"),

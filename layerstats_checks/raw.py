@@ -15,7 +15,8 @@ RAW = {
     " else cast(cast(l_quantity as int) as string) end",
     "shots_on_target": "cast(l_linenumber as string)",
     "possession": "case when l_linenumber = 7 then ''"
-    " else cast(cast(round(l_discount * 100) as int) as string) || '%' end",
+    " else cast(cast(round(l_discount * 100) as int) as string)"
+    " || case when l_linenumber = 3 then '.5%' else '%' end end",
     "passes": "cast(cast(floor(l_extendedprice / 1000) as int) as string) || '.'"
     " || lpad(cast(cast(floor(l_extendedprice) as bigint) % 1000 as string), 3, '0')",
     "pass_accuracy": "cast(cast(round(l_tax * 100) as int) as string) || '%'",
@@ -42,7 +43,17 @@ PERCENTS = ("possession", "pass_accuracy")
 STATISTICS = tuple(list(RAW)[3:13])
 
 
-def raw_columns(names: dict[str, str] | None = None) -> list[str]:
-    """Select-list entries, optionally under other names."""
+# Percentages with decimals that no double holds to the last digit.
+FINE_PERCENT = (
+    "cast(cast(round(l_tax * 100) as int) as string) || '.'"
+    " || lpad(cast(l_partkey % 100 as string), 2, '0') || '%'"
+)
+# The year and month as one token: inference would take it for a date.
+TOKEN = "cast(year(l_shipdate) as string) || '-' || cast(month(l_shipdate) as string)"
+
+
+def raw_columns(names: dict[str, str] | None = None, **instead: str) -> list[str]:
+    """Select-list entries, optionally under other names or with other expressions."""
     names = names or {name: name for name in RAW}
-    return [f"{RAW[name]} as {alias}" for name, alias in names.items()]
+    source = {**RAW, **instead}
+    return [f"{source[name]} as {alias}" for name, alias in names.items()]

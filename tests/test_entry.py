@@ -14,6 +14,7 @@ TYPES = {
     "double": "DOUBLE",
     "string": "VARCHAR",
     "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
 }
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")

@@ -8,6 +8,7 @@ import fixture
 import run_football
 from layerstats import (
     BRONZE,
+    GOLD,
     SILVER,
     ConformSpec,
     LayerConfig,
@@ -198,3 +199,30 @@ def test_summaries_read_silver_once(spark, cfg, built):
             text = df._jdf.queryExecution().executedPlan().toString()
             assert "silver" not in text and "Exchange" not in text
             assert "PartitionFilters: [isnotnull(grouping_level" in text
+
+
+def test_a_bad_header_leaves_bronze(spark, cfg, tmp_path):
+    plan, folder = football_plan(), tmp_path / "in"
+    path = fixture.write(folder)
+    before = build_bronze(spark, path, cfg, plan).count()
+    names = fixture.HEADER.replace("partida_id,rodata", "rodata,partida_id")
+    (folder / "swapped.csv").write_text(names + "1,1,A,1\n")
+    with pytest.raises(Exception, match="header"):
+        build_bronze(spark, f"{folder}/*.csv", cfg, plan)
+    assert spark.table(cfg.table(plan.bronze)).count() == before
+    assert read_layer(spark, cfg, BRONZE, plan.bronze).count() == before
+
+
+def test_a_failed_gold_table_leaves_all(spark, cfg, built):
+    """The second table's name belongs to another path, so the first may not switch either."""
+    plan = football_plan()
+    names = [summary.name for summary in plan.summaries]
+    rows = {name: spark.table(cfg.table(name)).collect() for name in names}
+    spark.sql(f"drop table {cfg.table(names[1])}")
+    spark.sql(f"create table {cfg.table(names[1])} (x int) using parquet location '{cfg.base}-foreign'")
+    fewer = read_layer(spark, cfg, SILVER, plan.silver).limit(1)
+    with pytest.raises(ValueError, match="move=True"):
+        build_gold(spark, cfg, plan, silver=fewer)
+    for name in (names[0], names[2]):
+        assert sorted(map(str, spark.table(cfg.table(name)).collect())) == sorted(map(str, rows[name]))
+    assert read_layer(spark, cfg, GOLD, names[1]).count() == len(rows[names[1]])

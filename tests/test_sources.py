@@ -261,3 +261,21 @@ def test_failed_publish_raises(spark, cfg):
     bad = spark.range(5).select(F.raise_error(F.lit("no")).alias("x"))
     with pytest.raises(PySparkException):
         publish(bad, cfg, BRONZE, "t")
+
+
+def test_text_columns_stay_text_under_inference(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "Round,club,n\n2022-1,007,1\n2022-12,08,2\n")
+    df = ingest_csv(spark, path, infer_schema=True, as_text=("round", "CLUB", "absent"))
+    assert df.drop("source_file").dtypes == [("Round", "string"), ("club", "string"), ("n", "int")]
+    assert sorted(map(tuple, df.drop("source_file").collect())) == [("2022-1", "007", 1), ("2022-12", "08", 2)]
+
+
+def test_lines_that_do_not_fit_can_be_kept(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "a,b,c\n1,2,3\n1,2,3,4\n5\n")
+    kept = ingest_csv(spark, path, malformed="line").select("a", "b", "c", "line").collect()
+    assert sorted(map(tuple, kept), key=str) == [
+        ("1", "2", "3", "1,2,3,4"),
+        ("1", "2", "3", None),
+        ("5", None, None, "5"),
+    ]
+    assert ingest_csv(spark, path).select("a", "b", "c").count() == 3
