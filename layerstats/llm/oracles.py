@@ -105,4 +105,27 @@ left join (select a, min(b) as low from same group by a) s on s.a = d.doc_id
 left join (select a, count(*) as n from links group by a) k on k.a = d.doc_id
 """
 
-ORACLES = {"op2_chat": OP2, "op5_jaccard": OP5, "op6_urls": OP6, "op9_contamination": OP9}
+_CAPITALS = "".join(map(chr, [*range(0x41, 0x5B), *(c for c in range(0xC0, 0xDF) if c != 0xD7)]))
+
+#: Every pair of a query and a document that share a term; rounded, as sums depend on their order.
+OP7 = f"""
+with terms as materialized (
+  select doc_id, term, count(*) as tf
+  from (select doc_id, unnest(regexp_extract_all(
+      translate(text, '{_CAPITALS}', '{"".join(chr(ord(c) + 32) for c in _CAPITALS)}'),
+      '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')) as term from documents)
+  group by doc_id, term),
+sizes as (select d.doc_id, coalesce(sum(tf), 0) as size from documents d left join terms using (doc_id) group by d.doc_id),
+stats as (select count(*) as n, greatest(1, sum(size) / count(*)) as average from sizes),
+idf as (select term, ln(1 + (max(n) - count(*) + 0.5) / (count(*) + 0.5)) as idf from terms, stats group by term),
+scores as (
+  select q.doc_id as query_id, d.doc_id,
+    sum(q.tf * idf * d.tf * 2.2::double / (d.tf + 1.2::double * (0.25 + 0.75::double * size / average))) as score
+  from terms q join idf using (term) join terms d using (term) join sizes s on s.doc_id = d.doc_id, stats
+  where q.doc_id % 20 = 0 group by q.doc_id, d.doc_id)
+select query_id, doc_id, round(score, 4) as score,
+  (row_number() over (partition by query_id order by round(score, 4) desc, doc_id))::int as rank
+from scores qualify rank <= 10
+"""
+
+ORACLES = {"op2_chat": OP2, "op5_jaccard": OP5, "op6_urls": OP6, "op7_topk": OP7, "op9_contamination": OP9}

@@ -108,7 +108,8 @@ def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return topk.search(docs, F.col("doc_id") % 20 == 0).select("query_id", "doc_id", "score", "rank")
+    found = topk.search(docs, F.col("doc_id") % 20 == 0)
+    return found.select("query_id", "doc_id", F.round("score", 4).alias("score"), "rank")
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
