@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,3 +20,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def written_in_turn(frames: Iterable[DataFrame], name: str) -> DataFrame:
+    """Write frames of one schema, at least one, into one table, each before the next is made, and read it."""
+    path = ""
+    for df in frames:
+        path = path or f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+        df.write.mode("append").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
