@@ -43,9 +43,3 @@ def cfg(spark, tmp_path):
     name = f"t_{abs(hash(str(tmp_path)))}"
     spark.sql(f"create database {name} location '{tmp_path}/catalog'")
     return LayerConfig(str(tmp_path / "layers"), database=name)
-
-
-def final_plan(df):
-    """The plan as it ran, after adaptive re-planning."""
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()

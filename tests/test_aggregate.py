@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from layerstats import Summary, profile, shared_summaries, summarise, summarise_together, totals
 
-from conftest import final_plan
+from planned import final_plan
 
 KEYS = ("season", "club")
 

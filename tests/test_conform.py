@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import fixture
 from layerstats import ConformSpec, Measure, conform, football_plan, ingest_csv, round_of, season_of
 
-from conftest import final_plan
+from planned import final_plan
 
 SILVER_TYPES = [
     ("id_partida", "int"),

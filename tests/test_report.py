@@ -1,6 +1,6 @@
 from layerstats import Report, Summary, latest, run_report, summarise, top_n, verify_layer
 
-from conftest import final_plan
+from planned import final_plan
 
 SCHEMA = "season int, club string, a double, b int"
 ROWS = [

@@ -17,7 +17,7 @@ from layerstats import (
     shared_dir,
 )
 
-from conftest import final_plan
+from planned import final_plan
 
 
 def write(path, text):
