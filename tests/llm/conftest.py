@@ -6,6 +6,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from brute import LONG, PASSAGE  # noqa: E402
+
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -22,10 +24,6 @@ def documents(spark, sf_dir):
     return [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang").collect()]
 
 
-LONG = " ".join(f"w{i * i % 9973}" for i in range(40_000))
-PASSAGE = " ".join(f"passage{i}" for i in range(60))
-
-
 @pytest.fixture(scope="session")
 def odd(spark):
     """Nulls, empty, blank and very long texts, repeated rows and keys, and columns with names that operators use."""

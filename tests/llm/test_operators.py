@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from conftest import LONG, PASSAGE
+from brute import LONG, PASSAGE
 from layerstats.llm import bpe, chat, contamination, jaccard_join, language, pitman_yor, suffix_dedup, topk, toxicity, url_filter
 from layerstats.llm.components import components
 
