@@ -22,18 +22,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerstats.llm.store import written
 from layerstats.llm.words import LOWER, SPACE, buffers, mix, word_hashes
 
-DEPTH = 5
+DEPTH = 6
 #: Discounts of restaurants by the length of their context, and their common strength.
-DISCOUNTS = (0.2, 0.5, 0.6, 0.7, 0.75, 0.8)
+DISCOUNTS = (0.2, 0.5, 0.6, 0.7, 0.75, 0.8, 0.8)
 STRENGTH = 0.5
-BURN_IN, SAMPLES = 1, 2
-CHUNK_BYTES, BUCKET_BYTES, BLOCK = 16 << 20, 16 << 20, 1 << 21
+BURN_IN, SAMPLES = 2, 3
+CHUNK_BYTES, BUCKET_BYTES, BLOCK = 8 << 20, 16 << 20, 1 << 21
 #: Chunks whose requests one task of a bucket merges or answers.
 LOT = 256
 #: The token at the end of each text among the hashes of words.
@@ -41,6 +42,26 @@ END = np.uint64(0x454E44)
 REQUEST = "kind string, bucket int, chunk int, keys binary, counts binary"
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Numbers compressed byte plane by byte plane, as the high bytes of most are alike."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def unpacked(raw: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Keys in order, as the steps between them."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(raw, np.uint64), dtype=np.uint64)
+
+
 def symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of all texts with ``DEPTH`` line feeds before each, and where each text's first and last one (its end) stand."""
     data, offsets = buffers(texts)
@@ -92,8 +113,13 @@ def _distinct(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, n
     """Distinct keys in order and the sums of their counts."""
     keys = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.uint64)
     counts = np.concatenate([p[1] for p in parts]) if parts else np.empty(0, np.int64)
-    keys, where = np.unique(keys, return_inverse=True)
-    return keys, np.bincount(where, counts, len(keys)).astype(np.int64)
+    # The parts are in order, which this sort makes use of.
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    first = np.flatnonzero(new)
+    return keys[first], np.add.reduceat(counts, first, dtype=np.int64) if len(first) else counts
 
 
 def _counted(keys: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +139,7 @@ def _distinct_runs(texts: pa.Array, learn: np.ndarray) -> tuple[np.ndarray, np.n
                 stop = min(len(out), at + BLOCK)
                 keys, counts = np.unique(runs(out, at, stop)[real[at:stop]], return_counts=True)
                 parts.append((keys, counts if learned else np.zeros(len(keys), np.int64)))
-            if len(parts) > 8:
+            if len(parts) > 4:
                 parts = [_distinct(parts)]
     return _distinct(parts)
 
@@ -157,7 +183,7 @@ def _requests(buckets: int) -> object:
             bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(bounds)):
                 here = order[bounds[b] : bounds[b + 1]]
-                rows.append((kind, int(b), chunk, keys[here].tobytes(), counts[here].astype(np.int32).tobytes()))
+                rows.append((kind, int(b), chunk, packed_keys(keys[here]), packed(counts[here])))
         columns = zip(*rows, strict=True)
         kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["kind", "bucket", "chunk", "keys", "counts"])
@@ -166,24 +192,20 @@ def _requests(buckets: int) -> object:
 
 
 def _arrays(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Keys and counts; a chunk's counts have 32 bits, sums of chunks 64."""
-    out = []
-    for raw, counts in zip(table["keys"].to_pylist(), table["counts"].to_pylist(), strict=True):
-        keys = np.frombuffer(raw, np.uint64)
-        out.append((keys, np.frombuffer(counts, np.int64 if len(counts) == 8 * len(keys) else np.int32)))
-    return out
+    """Keys and counts."""
+    return [(unpacked_keys(k.as_py()), unpacked(c.as_py(), np.int64)) for k, c in zip(table["keys"], table["counts"], strict=True)]
 
 
 def _merge(table: pa.Table) -> pa.Table:
     keys, counts = _distinct(_arrays(table))
-    return pa.table({"bucket": table["bucket"].slice(0, 1), "keys": pa.array([keys.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
+    return pa.table({"bucket": table["bucket"].slice(0, 1), "keys": pa.array([packed_keys(keys)], pa.binary()), "counts": pa.array([packed(counts)], pa.binary())})
 
 
 def _answer_words(table: pa.Table) -> pa.Table:
     """Each chunk's words with their counts in the corpus, and the bucket's tokens and distinct words."""
     parts = _arrays(table)
     keys, counts = _distinct(parts)
-    values = [counts[np.searchsorted(keys, k)].tobytes() for k, _ in parts]
+    values = [packed(counts[np.searchsorted(keys, k)]) for k, _ in parts]
     n = len(parts)
     return pa.table(
         {
@@ -210,7 +232,7 @@ def seat(customers: np.ndarray, parent: np.ndarray, others: np.ndarray, discount
     seated = 1
     active = int(np.searchsorted(-c, -seated, side="left"))
     while active:
-        group = 1 if seated < 16 else seated // 4
+        group = 1 if seated < 16 else seated // 8
         t = tables[:active]
         new = (STRENGTH + discount * (o[:active] + t)) * p[:active]
         odds = new / (new + seated - discount * t)
@@ -301,11 +323,11 @@ class Subtree:
                 yield step - BURN_IN
 
     def tables(self) -> bytes:
-        return np.concatenate([level.tables for level in self.levels]).astype(np.int32).tobytes()
+        return packed(np.concatenate([level.tables for level in self.levels]))
 
     def restore(self, tables: bytes) -> None:
         """The seating that :meth:`tables` told of."""
-        flat, at, customers = np.frombuffer(tables, np.int32).astype(np.int64), 0, self.counts
+        flat, at, customers = unpacked(tables, np.int64), 0, self.counts
         for level in self.levels:
             level.customers, level.tables = customers, flat[at : at + len(level.keys)]
             customers = np.bincount(level.parent, level.tables, len(level.parents)).astype(np.int64)
@@ -325,7 +347,7 @@ def seat_top(customers: np.ndarray, seed: int, sweeps: int = BURN_IN + SAMPLES)
 
 
 def _subtree(keys: bytes, counts: bytes, bucket: int) -> Subtree:
-    return Subtree(np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64), 7919 + bucket)
+    return Subtree(unpacked_keys(keys), unpacked(counts, np.int64), 7919 + bucket)
 
 
 def _collected(seated: DataFrame, samples: int) -> np.ndarray:
@@ -369,16 +391,16 @@ def _answer_runs(tops: np.ndarray) -> object:
     def run(requests: pa.Table, model: pa.Table) -> pa.Table:
         if not requests.num_rows:
             return pa.table({"kind": pa.array([], pa.string()), "bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int32()), "values": pa.array([], pa.binary())})
-        bucket = model["bucket"][0].as_py()
-        keys = np.frombuffer(model["keys"][0].as_py(), np.uint64)
-        tree = _subtree(model["keys"][0].as_py(), model["counts"][0].as_py(), bucket)
+        model = model.sort_by("sample")
+        tree = _subtree(model["keys"][0].as_py(), model["counts"][0].as_py(), model["bucket"][0].as_py())
+        keys = tree.levels[0].keys
         total = np.zeros(len(keys))
-        for sample, tables in zip(model["sample"].to_pylist(), model["tables"], strict=True):
+        for sample, tables in zip(model["sample"].to_pylist()[1:], model["tables"][1:], strict=True):
             tree.restore(tables.as_py())
             total += tree.predict(tops[sample])
         value = np.log10(total / SAMPLES).astype(np.float32)
-        asked = (np.frombuffer(k.as_py(), np.uint64) for k in requests["keys"])
-        values = [value[np.searchsorted(keys, k)].tobytes() for k in asked]
+        asked = (unpacked_keys(k.as_py()) for k in requests["keys"])
+        values = [packed(value[np.searchsorted(keys, k)]) for k in asked]
         return pa.table({"kind": requests["kind"], "bucket": requests["bucket"], "chunk": requests["chunk"], "values": pa.array(values, pa.binary())})
 
     return run
@@ -391,7 +413,7 @@ def _scored(buckets: int, train_tokens: int, distinct: int) -> object:
         order = np.argsort(bucket, kind="stable")
         bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for b, values in answers.items():
-            out[order[bounds[b] : bounds[b + 1]]] = np.frombuffer(values, kind)
+            out[order[bounds[b] : bounds[b + 1]]] = unpacked(values, kind)
         return out
 
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -411,17 +433,24 @@ def _scored(buckets: int, train_tokens: int, distinct: int) -> object:
             out, first, end = symbols(texts.slice(block.start, block.stop - block.start))
             real, parts = _inside(out, first, end), []
             for at in range(DEPTH, len(out), BLOCK):
-                here, place = np.unique(runs(out, at, min(len(out), at + BLOCK)), return_inverse=True)
-                parts.append((at, here, place.astype(np.int32)))
-                every.append(here[np.unique(place[real[at : at + BLOCK]])] if not real[at:].all() else here)
+                told = pa.array(runs(out, at, min(len(out), at + BLOCK))).dictionary_encode()
+                here, place = told.dictionary.to_numpy(), told.indices.to_numpy()
+                # Looked up in order below, which is much faster.
+                order = np.argsort(here)
+                parts.append((at, here[order], order, place))
+                asked = np.zeros(len(here), bool)
+                asked[place[real[at : at + BLOCK]]] = True
+                every.append(here[asked])
             blocks.append((block, first, end, real, parts))
-        keys = np.unique(np.concatenate(every)) if every else np.empty(0, np.uint64)
+        keys = np.sort(np.concatenate(every)) if every else np.empty(0, np.uint64)
+        keys = keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
         value = looked_up(keys, _run_bucket, given["run"], np.float32)
         score = np.zeros(n)
         for block, first, end, real, parts in blocks:
             sums = np.zeros(len(real) + 1)
-            for at, here, place in parts:
-                known = value[np.minimum(np.searchsorted(keys, here), len(keys) - 1)]
+            for at, here, order, place in parts:
+                known = np.empty(len(here), np.float32)
+                known[order] = value[np.minimum(np.searchsorted(keys, here), len(keys) - 1)]
                 sums[at + 1 : at + 1 + len(place)] = known[place]
             np.cumsum(sums, out=sums)
             score[block] = sums[end + 1] - sums[first]
@@ -479,7 +508,8 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     seated = written(model.mapInArrow(_seated(start), SEATED), "seatings")
     customers = _collected(seated, SAMPLES)
     tops = np.stack([seat_top(customers[s], 2 + s) for s in range(SAMPLES)])
-    trained = model.join(seated.select("bucket", "sample", "tables"), "bucket")
+    # A bucket's runs come once, as the row of sample -1, and its seatings after them.
+    trained = model.withColumn("sample", F.lit(-1)).unionByName(seated.select("bucket", "sample", "tables"), allowMissingColumns=True)
     trained = trained.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
     answers = (
         asked.groupBy("bucket", "lot")

@@ -149,6 +149,30 @@ def test_seating_is_that_of_a_restaurant():
     assert tables.mean() == pytest.approx(mean, rel=0.05)
 
 
+def test_seating_of_many_customers():
+    """Odds that stay within groups of an eighth are near the recurrence for common dishes too; a quarter is not."""
+    n, d, s = 1000, 0.6, pitman_yor.STRENGTH
+    tables = pitman_yor.seat(np.full(20_000, n), np.ones(20_000), np.zeros(20_000, np.int64), d, np.random.default_rng(2))
+    mean = 1.0
+    for seated in range(1, n):
+        mean += (s + d * mean) / (seated + s)
+    assert tables.mean() == pytest.approx(mean, rel=0.075)
+
+
+def test_six_bytes_are_remembered():
+    """What follows five equal bytes is told by the sixth; two sweeps go before the three seatings that count."""
+    text = pa.array([" ".join(["xabcdeq", "yabcdez"] * 200)])
+    keys, counts = pitman_yor._distinct_runs(text, np.ones(1, np.int64))
+    same = keys >> np.uint64(8) & np.uint64(0xFFFF) == np.uint64(int.from_bytes(b"de", "big"))
+    tree = pitman_yor.Subtree(keys[same], counts[same], 1)
+    sweeps, sweep = [], tree.sweep
+    tree.sweep = lambda top: (sweeps.append(1), sweep(top))
+    assert len(list(tree.samples(np.full(1 << 16, 1 / 256)))) == 3 and len(sweeps) == 5
+    p = tree.predict(np.full(1 << 16, 1 / 256))
+    ends = [int(k).to_bytes(8, "big") for k in keys[same]]
+    assert sorted(e[-7:] for e in ends) == [b"xabcdeq", b"yabcdez"] and (p > 0.9).all()
+
+
 def test_symbols():
     out, first, end = pitman_yor.symbols(pa.array(["A b", None, "  c  ", "", "é"]))
     texts = [bytes(out[f : e + 1]).decode() for f, e in zip(first, end, strict=True)]
