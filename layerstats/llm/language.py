@@ -33,26 +33,31 @@ def fit(
     dictionary_bytes: int = 1 << 16,
     longest: int = 1 << 13,
 ) -> dict[str, bytes]:
-    """A raw dictionary of each language: whole training texts up to ``dictionary_bytes``.
+    """A raw dictionary of each language: training texts up to ``dictionary_bytes``.
 
-    The sample is bounded by that size: of each language the distinct texts of at
-    most ``longest`` characters with the smallest hashes are taken until they fill
-    it. Rows without language or without a letter teach nothing. More than
-    ``MOST_LANGUAGES`` languages are refused.
+    The sample is bounded by that size: of each language the distinct texts with the
+    smallest hashes are taken until they fill it, texts being compared and measured
+    by their letters. Of a text with more than ``longest`` characters a stretch of so
+    many, chosen by its hash, is taken. Rows without language or without a letter
+    teach nothing. More than ``MOST_LANGUAGES`` languages are refused.
     """
     usable = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"), *([learn.alias("learn")] if learn is not None else []))
     usable = usable.where("learn").drop("learn") if learn is not None else usable
-    usable = usable.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.length("text") <= longest))
-    sizes = usable.groupBy("lang").agg(F.sum(F.length("text")).alias("size")).limit(MOST_LANGUAGES + 1).collect()
+    usable = usable.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    usable = usable.withColumn("text", F.trim(F.regexp_replace("text", r"\P{L}+", " ")))
+    hashed = F.xxhash64("text")
+    each = usable.groupBy("lang", hashed.alias("place")).agg(F.max(F.least(F.length("text"), F.lit(longest))).alias("size"))
+    sizes = each.groupBy("lang").agg(F.sum("size").alias("size")).limit(MOST_LANGUAGES + 1).collect()
     if len(sizes) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     if not sizes:
         return {}
     size = F.create_map(*(x for row in sizes for x in (F.lit(row["lang"]), F.lit(float(row["size"])))))[F.col("lang")]
-    hashed = F.xxhash64("text")
-    place = F.pmod(hashed, F.lit(1 << 30)) / float(1 << 30)
-    thin = usable.where(place * size < 6 * dictionary_bytes).withColumn("place", hashed).distinct()
-    order = Window.partitionBy("lang").orderBy(place, "place", "text")
+    share = lambda place: F.pmod(place, F.lit(1 << 30)) / float(1 << 30)
+    start = F.pmod(F.xxhash64("place"), F.greatest(F.length("text") - longest, F.lit(0)) + 1).cast("int") + 1
+    thin = usable.where(share(hashed) * size < 6 * dictionary_bytes).withColumn("place", hashed)
+    thin = thin.withColumn("text", F.col("text").substr(start, F.lit(longest))).distinct()
+    order = Window.partitionBy("lang").orderBy(share(F.col("place")), "place", "text")
     before = F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     rows = thin.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < dictionary_bytes)
     texts: dict[str, list[bytes]] = {}

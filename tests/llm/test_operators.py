@@ -353,6 +353,19 @@ def test_language(spark, documents, odd):
     assert {r.lang_pred for r in language.classify(odd, {}).collect()} == {"und"}
 
 
+def test_copies_and_long_texts_leave_room_in_dictionaries(spark):
+    rng = np.random.default_rng(7)
+    said = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n))
+    copied = said(1000)
+    rows = [(copied, "aa")] * 3000 + [(said(200), "aa") for _ in range(300)]
+    rows += [(said(3000), "bb") for _ in range(12)] + [("1234567 " * 1000 + said(2), "cc") for _ in range(20)]
+    dictionaries = language.fit(spark.createDataFrame(rows, "text string, lang string").repartition(4))
+    assert set(dictionaries) == {"aa", "bb", "cc"}
+    assert len(dictionaries["aa"]) == len(dictionaries["bb"]) == 1 << 16
+    assert dictionaries["aa"].count(copied[:100].encode()) <= 1
+    assert len(dictionaries["cc"]) == 20 * len(" abcdef abcdef ")
+
+
 # -- benchmark
 
 
