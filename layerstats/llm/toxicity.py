@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,17 +99,22 @@ def _told_apart(with_one: np.ndarray, with_zero: np.ndarray, ones: int, zeros: i
 
 
 def train(
-    texts: pa.Array, labels: np.ndarray, bits: int, steps: int, least: float = 20.0, rate: float = 0.1, block: int = 500
+    texts: pa.Array, labels: np.ndarray, bits: int, steps: int, least: float = 20.0, rate: float = 0.1, block: int = 500, block_bytes: int = 1 << 22
 ) -> tuple[np.ndarray, float]:
     """Weights and bias of the sentence model with the likeliest document labels (Adam, all rows a step).
 
     Only features whose document counts tell the labels apart (log-likelihood
     ratio from ``least``) have weights: others could only learn labels by heart.
     """
-    blocks = range(0, len(labels), block)
+    sizes = np.concatenate([buffers(c)[1][1:] - buffers(c)[1][:-1] for c in getattr(texts, "chunks", [texts])] or [np.empty(0, np.int64)])
+    total, blocks, at = np.concatenate([[0], np.cumsum(sizes)]), [], 0
+    while at < len(labels):
+        stop = min(at + block, max(at + 1, int(np.searchsorted(total, total[at] + block_bytes, side="right")) - 1), len(labels))
+        blocks.append((at, stop - at))
+        at = stop
     counts = np.zeros((2, 1 << bits))
-    for at in blocks:
-        s = Sentences(texts.slice(at, block), bits)
+    for at, size in blocks:
+        s = Sentences(texts.slice(at, size), bits)
         owner = np.repeat(np.repeat(np.arange(len(s.per_text)), s.per_text)[s.place], s.sizes)
         keys = np.unique((owner[:, None] << bits | s.feature).ravel())
         for label in (0, 1):
@@ -121,8 +126,8 @@ def train(
     place = np.full(1 << bits, -1, np.int32)
     place[used] = np.arange(len(used))
     found, where, per_text, total = [], [], [], 0
-    for at in blocks:
-        s = Sentences(texts.slice(at, block), bits)
+    for at, size in blocks:
+        s = Sentences(texts.slice(at, size), bits)
         feature = place[s.feature]
         row, _ = np.nonzero(feature >= 0)
         where.append(np.repeat(s.place, s.sizes)[row] + total)
@@ -158,16 +163,16 @@ def fit(
     text: str = "text",
     learn: Column | None = None,
     sample: int = 16_000,
-    longest: int = 100_000,
+    sample_bytes: int = 1 << 28,
     bits: int = 20,
     steps: int = 200,
 ) -> tuple[np.ndarray, float]:
     """The sentence model, from a bounded sample of the labelled documents.
 
     About ``sample`` documents at most, those with the smallest hash of their
-    key, are learned from, whole, in one task; documents of more than ``longest``
-    characters are not sampled. ``learn`` says which keys may be learned from. A
-    key with several labels has the largest; null keys and labels teach nothing.
+    key, are learned from, whole and whatever their length, in one task, as far as
+    they fit into ``sample_bytes`` together. ``learn`` says which keys may be learned
+    from. A key with several labels has the largest; null keys and labels teach nothing.
     Without both labels every document scores near 0 (or, with only 1s, near 1).
     """
     usable = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1))
@@ -176,10 +181,17 @@ def fit(
     place = F.pmod(F.xxhash64("__key"), F.lit(1 << 30)) / float(1 << 30)
     few = place * usable.count() < sample
     chosen = F.broadcast(usable.where(few))  # some ``sample`` rows of two numbers, whatever the input
-    rows = (
-        docs.where(F.col(key).isNotNull() & (F.coalesce(F.length(text), F.lit(0)) <= longest))
+    found = (
+        docs.where(F.col(key).isNotNull())
         .select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text"))
         .join(chosen, "__key")
+    )
+    # Keys by their hash, as far as their texts have room.
+    lengths = found.groupBy("__key").agg(F.max(F.coalesce(F.octet_length("__text"), F.lit(0))).cast("long").alias("__size"))
+    room = Window.orderBy(place, "__key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fitting = lengths.where(F.col("__size") <= sample_bytes).withColumn("__until", F.sum("__size").over(room))
+    rows = (
+        found.join(F.broadcast(fitting.where(F.col("__until") <= sample_bytes).select("__key")), "__key")
         .select("__label", "__text")
         .repartition(1)
         .sortWithinPartitions("__label", "__text")

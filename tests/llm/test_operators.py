@@ -48,6 +48,20 @@ def test_toxic_sentences_are_located(spark):
         assert [("awfulword" in r.text[s.start : s.end]) for s in r.offending] == [True] * (r.doc_id % 4 == 0)
 
 
+def test_long_clean_documents_are_learned_from(spark):
+    rng = np.random.default_rng(6)
+    clean = [f"w{i}" for i in range(300)]
+    said = lambda n: ". ".join(" ".join(rng.choice(clean, 8)) for _ in range(n)) + "."
+    rows = [(i, ("you awfulword. " if i % 4 == 0 else "") + said(4), int(i % 4 == 0)) for i in range(400)]
+    # One toxic text has no telling word, so that the odds of neutral sentences are not near 0.
+    rows += [(400, said(4), 1)] + [(500 + i, said(4000), 0) for i in range(5)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    trained = toxicity.fit(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    new = spark.createDataFrame([(0, said(4000)), (1, said(4) + " you awfulword.")], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in toxicity.score(new, trained).collect()}
+    assert scores[0] < 0.5 <= scores[1]
+
+
 def test_noisy_or():
     z = np.array([-2.0, 1.0, 0.5])
     p = 1 / (1 + np.exp(-z))
