@@ -172,7 +172,8 @@ def fit(
     About ``sample`` documents at most, those with the smallest hash of their
     key, are learned from, whole and whatever their length, in one task, as far as
     they fit into ``sample_bytes`` together. ``learn`` says which keys may be learned
-    from. A key with several labels has the largest; null keys and labels teach nothing.
+    from. A key with several labels has the largest, one with several rows teaches the
+    text with the least hash, once; null keys and labels teach nothing.
     Without both labels every document scores near 0 (or, with only 1s, near 1).
     """
     usable = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1))
@@ -186,12 +187,17 @@ def fit(
         .select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text"))
         .join(chosen, "__key")
     )
-    # Keys by their hash, as far as their texts have room.
-    lengths = found.groupBy("__key").agg(F.max(F.coalesce(F.octet_length("__text"), F.lit(0))).cast("long").alias("__size"))
+    # Of each key the text with the least hash; keys by their hash, as far as their texts have room.
+    hashed, size = F.xxhash64("__text"), F.coalesce(F.octet_length("__text"), F.lit(0)).cast("long")
+    least = found.groupBy("__key").agg(F.min(F.struct(hashed.alias("hash"), size.alias("size"))).alias("__least"))
+    lengths = least.select("__key", F.col("__least.hash").alias("__hash"), F.col("__least.size").alias("__size"))
     room = Window.orderBy(place, "__key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fitting = lengths.where(F.col("__size") <= sample_bytes).withColumn("__until", F.sum("__size").over(room))
     rows = (
-        found.join(F.broadcast(fitting.where(F.col("__until") <= sample_bytes).select("__key")), "__key")
+        found.join(F.broadcast(fitting.where(F.col("__until") <= sample_bytes).select("__key", "__hash")), "__key")
+        .where(hashed == F.col("__hash"))
+        .select("__key", "__label", "__text")
+        .distinct()
         .select("__label", "__text")
         .repartition(1)
         .sortWithinPartitions("__label", "__text")

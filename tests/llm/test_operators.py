@@ -62,6 +62,17 @@ def test_long_clean_documents_are_learned_from(spark):
     assert scores[0] < 0.5 <= scores[1]
 
 
+def test_a_key_of_many_rows_teaches_once(spark):
+    rng = np.random.default_rng(9)
+    said = lambda: ". ".join(" ".join(rng.choice([f"w{i}" for i in range(300)], 8)) for _ in range(4)) + "."
+    rows = [(i, ("you awfulword. " if i % 4 == 0 else "") + said()) for i in range(400)]
+    rows += [(1001, "you awfulword. " + said())] * 2000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    trained = toxicity.fit(docs, spark.createDataFrame([(r, int(r % 4 == 0)) for r in [*range(400), 1001]], "doc_id long, toxic int"))
+    new = spark.createDataFrame([(0, "you awfulword. " + said()), (1, said())], "doc_id long, text string")
+    assert {r.doc_id: r.score >= 0.5 for r in toxicity.score(new, trained).collect()} == {0: True, 1: False}
+
+
 def test_noisy_or():
     z = np.array([-2.0, 1.0, 0.5])
     p = 1 / (1 + np.exp(-z))
