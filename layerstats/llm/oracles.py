@@ -128,4 +128,48 @@ select query_id, doc_id, round(score, 4) as score,
 from scores qualify rank <= 10
 """
 
-ORACLES = {"op2_chat": OP2, "op5_jaccard": OP5, "op6_urls": OP6, "op7_topk": OP7, "op9_contamination": OP9}
+OP11 = r"""
+with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+l as (select doc_id, unnest(range(1, len(lines) + 1)) as n, unnest(lines) as line from d),
+k as (
+  select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from l),
+r as (select key, min(doc_id) as first from k where length(key) >= 10 group by key having count(distinct doc_id) >= 2),
+m as (select k.doc_id, k.n, k.line, r.key is not null and k.doc_id != r.first as gone from k left join r using (key))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by n) filter (not gone), '')) as kept_sha256
+from m group by doc_id
+"""
+
+#: All pairs of an anchor and a row, each product a sum over components.
+OP12 = r"""
+with v as materialized (
+  select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as vector
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
+s as materialized (
+  select a.id as a, b.id as b, a.label = b.label as same,
+    list_sum(list_transform(list_zip(a.vector, b.vector), lambda z: coalesce(z[1] * z[2], 0)))::bigint as score
+  from v a join v b on a.id != b.id where a.id % 50 = 0),
+p as (
+  select a, b, score, row_number() over (partition by a order by score desc, b) as slot
+  from s where same qualify slot <= 5)
+select p.a as anchor_id, p.b as positive_id,
+  (row_number() over (partition by p.a, p.slot order by n.score desc, n.b))::int as rank,
+  n.b as negative_id, p.score as positive_score, n.score as negative_score
+from p join s n on n.a = p.a and not n.same and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score
+qualify rank <= 3
+"""
+
+ORACLES = {
+    "op2_chat": OP2,
+    "op5_jaccard": OP5,
+    "op6_urls": OP6,
+    "op7_topk": OP7,
+    "op9_contamination": OP9,
+    "op11_lines": OP11,
+    "op12_hard_negatives": OP12,
+}

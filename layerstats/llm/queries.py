@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerstats.llm import bpe, chat, contamination, jaccard_join, language, pitman_yor, suffix_dedup, topk, toxicity, url_filter
+from layerstats.llm import (
+    bpe,
+    chat,
+    contamination,
+    hard_negatives,
+    jaccard_join,
+    language,
+    line_dedup,
+    periodic_runs,
+    pitman_yor,
+    suffix_dedup,
+    topk,
+    toxicity,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -138,6 +152,48 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.remove_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text, the texts of a tenth of all documents made periodic from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))
+    docs = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words"))
+    docs = docs.withColumn("n", F.size("words"))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    docs = docs.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    again = F.transform("words", lambda w, i: F.when(i >= F.col("a"), F.get("words", F.col("a") + (i - F.col("a")) % F.col("p"))).otherwise(w))
+    return docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = planted_periods(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.collapse(docs)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("longest", longest)
+    length, start, period = (F.col(f"longest.{c}") for c in ("length", "col2", "col3"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-start).alias("start"),
+        length.alias("length"),
+        (-period).alias("period"),
+        F.expr("1000 * longest.length div -longest.col3").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat": op2_chat,
@@ -149,4 +205,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_contamination": op9_contamination,
     "op10_bpe": op10_bpe,
+    "op11_lines": op11_lines,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_periodic": op13_periodic,
 }

@@ -113,3 +113,64 @@ def bm25(rows, queries, k=10):
                     scores[j] += qtf * idf * b[w] * 2.2 / (b[w] + 1.2 * (0.25 + 0.75 * sizes[j] / average))
         out[q] = sorted((-round(s, 9), rows[j][0]) for j, s in scores.items())[:k]
     return out
+
+
+def lines_kept(rows, least=10):
+    """(doc_id, text) rows: lines, lines dropped, and text kept of each; a null id counts as the last document."""
+    def key(line):
+        return line.strip("\x20\x09\x0a\x0b\x0c\x0d").translate({i: i + 32 for i in range(65, 91)})
+
+    rank = lambda d: (d is None, d or 0)
+    where = collections.defaultdict(set)
+    for d, text in rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= least:
+                where[key(line)].add(rank(d))
+    out = []
+    for d, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if len(key(x)) < least or min(where[key(x)]) == rank(d)]
+        out.append((len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def negatives(rows, anchors, positives=5, negatives=3):
+    """(id, components or None, label) rows: the mined pairs, by exact arithmetic."""
+    def ok(v):
+        return v is not None and all(x is not None and math.isfinite(x) for x in v)
+
+    rows = [(i, [math.floor(256 * x) for x in v], y) for i, v, y in rows if y is not None and ok(v)]
+    rank = lambda d: (d is None, d or 0)
+    out = []
+    for n, (i, v, y) in enumerate(rows):
+        if not anchors(i):
+            continue
+        scored = [(sum(a * b for a, b in zip(v, w, strict=False)), j, z == y) for m, (j, w, z) in enumerate(rows) if m != n]
+        scored.sort(key=lambda s: (-s[0], rank(s[1])))
+        for score, j, _ in [s for s in scored if s[2]][:positives]:
+            fitting = [s for s in scored if not s[2] and 50 * score <= 100 * s[0] <= 95 * score][:negatives]
+            out += [(i, j, k, s[1], score, s[0]) for k, s in enumerate(fitting, 1)]
+    return out
+
+
+def periodic(words):
+    """All runs (start, length, smallest period), lag by lag."""
+    n, out = len(words), []
+    for q in range(1, n // 4 + 1):
+        i = q
+        while i < n:
+            j = i
+            while j < n and words[j] == words[j - q]:
+                j += 1
+            start, length = i - q, j - i + q
+            if length >= max(6, 4 * q):
+                part = words[start : start + length]
+                if not any(part[d:] == part[:-d] for d in range(1, q)):
+                    out.append((start, length, q))
+            i = j + 1
+    return sorted(out)
+
+
+def collapsed(words, runs):
+    gone = {i for start, length, q in runs for i in range(start + q, start + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
