@@ -1,5 +1,5 @@
 from layerstats.sources.delimited import SOURCE_FILE, ingest_csv
-from layerstats.sources.layers import BRONZE, GOLD, SILVER, LayerConfig, publish, read_layer
+from layerstats.sources.layers import BRONZE, GOLD, SILVER, LayerConfig, publish, publish_all, read_layer, recover, stage
 from layerstats.sources.shared import remove_dir, shared_dir
 
 __all__ = [
@@ -10,7 +10,10 @@ __all__ = [
     "LayerConfig",
     "ingest_csv",
     "publish",
+    "publish_all",
     "read_layer",
+    "recover",
     "remove_dir",
     "shared_dir",
+    "stage",
 ]

@@ -26,19 +26,28 @@ def file_system(spark: SparkSession, path: str):
     return system, system.makeQualified(folder)
 
 
-def replace_dir(spark: SparkSession, new: str, path: str) -> None:
-    """Put the folder ``new`` in the place of ``path``; what was there goes only once ``new`` stands."""
-    system, source = file_system(spark, new)
-    _, target = file_system(spark, path)
-    _, old = file_system(spark, f"{new}-old")
-    if system.exists(target) and not system.rename(target, old):
-        raise OSError(f"cannot move {path} aside")
-    if not system.rename(source, target):
-        if system.exists(old):
-            system.rename(old, target)
-        raise OSError(f"cannot move {new} to {path}")
-    if system.exists(old):
-        system.delete(old, True)
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none where there is no such folder."""
+    system, folder = file_system(spark, path)
+    return [entry.getPath().getName() for entry in system.listStatus(folder)] if system.exists(folder) else []
+
+
+def put_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; an older one of that name is replaced."""
+    system, target = file_system(spark, path)
+    stream = system.create(target, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    system, source = file_system(spark, path)
+    size = system.getFileStatus(source).getLen()
+    stream = system.open(source)
+    text = bytes(stream.readNBytes(size)).decode()
+    stream.close()
+    return text
 
 
 def remove_dir(spark: SparkSession, path: str) -> None:

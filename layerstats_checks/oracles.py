@@ -140,6 +140,9 @@ ORACLES = {
     "ingest_provenance": "select *, 'events_csv' as source_folder from events",
     "layer_readback": "select * from orders",
     "publish_overwrite": TOTALS,
+    "publish_refused": f"select *, true as refused from ({TOTALS})",
+    "bronze_refused": "select *, true as refused from part",
+    "silver_refused": f"select *, true as refused from ({SILVER})",
     "publish_sorted": f"select *, true as in_order from ({TOTALS})",
     "publish_partitioned": SILVER,
     "clean_counts_brand": f"select p_partkey, {count_value('p_brand')} as brand_no from part",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -152,6 +155,47 @@ def publish_overwrite(spark, sf_dir):
     return spark.table(cfg.table("statistics"))
 
 
+def refused(work: Callable[[], object]) -> Column:
+    """Whether some work ends in an error of Spark's."""
+    try:
+        work()
+    except PySparkException:
+        return F.lit(True).alias("refused")
+    return F.lit(False).alias("refused")
+
+
+def publish_refused(spark, sf_dir):
+    """What is left of a table after a version that fails while it is written."""
+    cfg = scratch_config(spark, "publish_refused")
+    sums = totals(silver(spark, sf_dir), BY_CLUB, SUMS)
+    publish(sums, cfg, GOLD, "statistics")
+    bad = F.when(F.col("total_red_cards") > -1, F.raise_error(F.lit("unreadable")).cast("int"))
+    error = refused(lambda: publish(sums.withColumn("season", bad), cfg, GOLD, "statistics"))
+    return spark.table(cfg.table("statistics")).select("*", error)
+
+
+def bronze_refused(spark, sf_dir):
+    """What is left of Bronze after files of another header."""
+    cfg = scratch_config(spark, "bronze_refused")
+    part = table(spark, sf_dir, "part")
+    plan = LayerPlan("bronze_parts", "silver_parts", statistics_spec(F.lit(1)), ())
+    build_bronze(spark, write_csv(part, f"{cfg.base}/landing/parts"), cfg, plan)
+    write_csv(table(spark, sf_dir, "region"), f"{cfg.base}/landing/regions")
+    error = refused(lambda: build_bronze(spark, f"{cfg.base}/landing/*", cfg, plan))
+    return typed_like(spark.table(cfg.table(plan.bronze)), part, error)
+
+
+def silver_refused(spark, sf_dir):
+    """What is left of Silver after a run that found no Bronze."""
+    cfg = scratch_config(spark, "silver_refused")
+    plan = LayerPlan("bronze_statistics", "silver_statistics", statistics_spec(F.col("season")), ())
+    publish(raw(spark, sf_dir), cfg, BRONZE, plan.bronze)
+    build_silver(spark, cfg, plan)
+    remove_dir(spark, cfg.path(BRONZE, plan.bronze))
+    error = refused(lambda: build_silver(spark, cfg, plan))
+    return spark.table(cfg.table(plan.silver)).select("*", error)
+
+
 def publish_sorted(spark, sf_dir):
     """Whether each row comes after those before it, in its file and in the files before."""
     cfg = scratch_config(spark, "publish_sorted")
@@ -484,6 +528,9 @@ QUERIES = {
     "ingest_provenance": ingest_provenance,
     "layer_readback": layer_readback,
     "publish_overwrite": publish_overwrite,
+    "publish_refused": publish_refused,
+    "bronze_refused": bronze_refused,
+    "silver_refused": silver_refused,
     "publish_sorted": publish_sorted,
     "publish_partitioned": publish_partitioned,
     "clean_counts_brand": clean_counts_brand,

@@ -1,8 +1,10 @@
 import re
+from functools import partial
 from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from layerstats import (
@@ -13,9 +15,13 @@ from layerstats import (
     ingest_csv,
     latest,
     publish,
+    publish_all,
     read_layer,
+    recover,
     shared_dir,
 )
+from layerstats.sources import layers
+from layerstats.sources.shared import list_names
 
 from planned import final_plan
 
@@ -279,3 +285,87 @@ def test_lines_that_do_not_fit_can_be_kept(spark, tmp_path):
         ("5", None, None, "5"),
     ]
     assert ingest_csv(spark, path).select("a", "b", "c").count() == 3
+
+
+def test_a_column_may_be_named_like_a_part_of_the_description(spark, cfg):
+    for n in (3, 4):
+        rows = spark.range(n).withColumns({c: F.lit("x") for c in ("Location", "Type", "Provider")})
+        assert publish(rows, cfg, GOLD, "t").count() == n
+    assert read_layer(spark, cfg, GOLD, "t").columns == ["id", "Location", "Type", "Provider"]
+
+
+def test_versions_before_the_last_one_go(spark, cfg):
+    old = publish(spark.range(1), cfg, GOLD, "t")
+    for n in range(2, 6):
+        before = spark.table(cfg.table("t"))
+        assert publish(spark.range(n), cfg, GOLD, "t").count() == n
+        # Who read the table before its switch can go on.
+        assert before.count() in (n - 1, n)
+    assert len(list_names(spark, f"{cfg.path(GOLD, 't')}/_versions")) == 2
+    assert old.columns == ["id"]
+
+
+class Stopped(BaseException):
+    """The process ends: no handler of errors sees it."""
+
+
+class Crash:
+    """Raises at the n-th step that changes a file or the catalog, and at all later ones if the process ended."""
+
+    def __init__(self, monkeypatch, at, kind):
+        self.left, self.kind = at, kind
+        for name in ("put_file", "remove_dir"):
+            self.wrap(monkeypatch, layers, name)
+        self.wrap(monkeypatch, SparkSession, "sql", lambda text: text.startswith(("create", "alter", "drop")))
+
+    def wrap(self, monkeypatch, where, name, counts=lambda text: True):
+        real = getattr(where, name)
+
+        def step(*args, **options):
+            if counts(args[1]):
+                self.left -= 1
+                if self.left == 0 or (self.left < 0 and self.kind is Stopped):
+                    raise self.kind("stopped")
+            return real(*args, **options)
+
+        monkeypatch.setattr(where, name, step)
+
+
+@pytest.mark.parametrize("change, kind", [("rows", Stopped), ("columns", Stopped), ("partitions", Stopped), ("new", Stopped), ("columns", ValueError), ("new", ValueError)])
+def test_switch_stopped_after_every_step(spark, cfg, monkeypatch, change, kind):
+    """Two tables switch together: after any stop they are all old or all new, by name and by path."""
+    names = ("a", "b")
+
+    def tables(n):
+        rows = spark.range(n).withColumn("season", (F.col("id") % 2).cast("int"))
+        return rows.withColumn("extra", F.lit(1)) if change == "columns" and n > 5 else rows
+
+    def staged(n):
+        parts = ("season",) if change == "partitions" else ()
+        return [partial(layers.stage, tables(n), cfg, GOLD, name, partition_by=parts) for name in names]
+
+    if change != "new":
+        publish_all(spark, staged(5))
+    for at in range(1, 100):
+        n, stopped = 5 + at, False
+        with monkeypatch.context() as patch:
+            Crash(patch, at, kind)
+            try:
+                publish_all(spark, staged(n))
+            except kind:
+                stopped = True
+        if kind is Stopped:
+            recover(spark, cfg)
+        there = [spark.catalog.tableExists(cfg.table(name)) for name in names]
+        assert all(there) or (change == "new" and not any(there))
+        counts = {spark.table(cfg.table(name)).count() for name in names if there[0]}
+        by_path = {read_layer(spark, cfg, GOLD, name).count() for name in names if there[0]}
+        assert counts == by_path and len(counts) <= 1
+        if not stopped:
+            assert counts == {n}
+            break
+    assert at > 5 and not stopped
+    # Whatever was left over does not disturb the next run.
+    assert [t.count() for t in publish_all(spark, staged(3))] == [3, 3, 3]
+    shown = {r.tableName for r in spark.sql(f"show tables in {cfg.database}").collect()}
+    assert shown == set(names)
