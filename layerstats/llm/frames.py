@@ -11,7 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PIECE_BYTES = 8 << 20
+#: Bytes of text worked on at a time; what a worker holds besides is some twenty times that.
+PIECE_BYTES = 2 << 20
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -42,9 +51,7 @@ def with_columns(
     """
     names = {name.lower() for name, _ in added}
     kept = [f for f in df.schema.fields if f.name.lower() not in names and (keep_text or f.name != text)]
-    source = "__text"
-    while source in {field.name for field in kept}:
-        source += "_"
+    source = free_name(df, "__text")
     inputs = df.select(*(F.col(f"`{f.name}`") for f in kept), F.col(f"`{text}`").cast("string").alias(source))
     schema = T.StructType([*kept, *(T.StructField(name, kind) for name, kind in added)])
     keep = [field.name for field in kept]

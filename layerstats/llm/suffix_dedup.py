@@ -27,12 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
-from layerstats.llm.frames import pieces
+from layerstats.llm.frames import free_name, pieces
 from layerstats.llm.store import written
 from layerstats.llm.words import _TABLE, _power, buffers, mix
 
@@ -141,9 +140,9 @@ def _runs(flags: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return first, last
 
 
-def _sorted_bucket(length: int, key_type: pa.DataType) -> object:
+def _sorted_bucket(length: int) -> object:
     """Repeated stretches of the segments of a bucket, whose rows come in order of their grams."""
-    names = ["key", "text_hash", "start", "end"]
+    names = ["print", "start", "end"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.Table] = []
@@ -178,25 +177,27 @@ def _sorted_bucket(length: int, key_type: pa.DataType) -> object:
         first, last = _runs(flags, row)
         owner = table.take(pa.array(row[first]))
         start = owner["start"].to_numpy() + step[first]
-        columns = [owner["key"].combine_chunks(), owner["text_hash"].combine_chunks(), pa.array(start), pa.array(start + step[last] - step[first] + length)]
-        yield pa.RecordBatch.from_arrays([columns[0].cast(key_type), *columns[1:]], names)
+        columns = [owner["print"].combine_chunks(), pa.array(start), pa.array(start + step[last] - step[first] + length)]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
-def repeats(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, crowded: int = CROWDED
-) -> DataFrame:
-    """key, text_hash and spans (start, end in bytes, some overlapping) of all strings of ``length`` bytes that occur again.
+def _print(text: str) -> Column:
+    """What names a text: rows of equal text have the same spans, and are counted and cut as one."""
+    return F.unhex(F.md5(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary")))
+
 
-    ``text_hash`` is the text's xxhash64: rows that agree in key and text have the same spans.
+def repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM, crowded: int = CROWDED) -> DataFrame:
+    """print and spans (start, end in bytes, some overlapping) of all strings of ``length`` bytes that occur again.
+
+    ``print`` is the MD5 digest of the text: spans are found once for rows of equal text.
     """
     if length % 8 or not 8 <= gram < length or length - gram >= 4096:
         raise ValueError("length must be a multiple of eight, and gram from 8 to less than it")
-    key_field = docs.select(F.col(key).alias("key")).schema["key"]
-    texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    texts = docs.select(_print(text).alias("print"), F.col(f"`{text}`").cast("string").alias("text")).where(F.octet_length("text") >= length)
     schema = T.StructType(
-        [key_field, T.StructField("text_hash", T.LongType())]
+        [T.StructField("print", T.BinaryType())]
         + [T.StructField(n, k) for n, k in (("start", T.LongType()), ("windows", T.IntegerType()), ("offset", T.IntegerType()), ("gram", T.LongType()), ("segment", T.LongType()))]
     )
 
@@ -207,8 +208,7 @@ def repeats(
                 owner = pa.array(found["text"])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("key").take(owner),
-                        part.column("text_hash").take(owner),
+                        part.column("print").take(owner),
                         pa.array(found["start"], pa.int64()),
                         pa.array(found["windows"].astype(np.int32)),
                         pa.array(found["offset"].astype(np.int32)),
@@ -218,7 +218,7 @@ def repeats(
                     schema.names,
                 )
 
-    anchors = written(texts.where(F.octet_length("text") >= length).mapInArrow(cut, schema), "anchors")
+    anchors = written(texts.mapInArrow(cut, schema), "anchors")
     grams = (
         anchors.groupBy("gram")
         .agg(F.count("*").alias("of_gram"), (F.min("segment") == F.max("segment")).alias("uniform"))
@@ -230,26 +230,23 @@ def repeats(
     mixed = again.where("not uniform")
     kinds = written(
         mixed.groupBy("gram", "segment").agg(
-            F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("key", "text_hash", "start", "windows", "offset"))
-        ),
+            F.count("*").alias("n"), F.min(F.struct("print", "start", "windows", "offset")).alias("one")
+        ).select("gram", "segment", "n", "one.*"),
         "kinds",
     )
     end = F.col("start") + F.col("windows") - 1 + length
     whole = again.where("uniform").unionByName(mixed.join(kinds.where("n > 1").select("gram", "segment"), ["gram", "segment"]))
-    whole = whole.select("key", "text_hash", "start", end.alias("end"))
+    whole = whole.select("print", "start", end.alias("end"))
 
     # Only segments of which there is one are open, but they are compared to all of their gram.
     crowd = kinds.groupBy("gram").agg(F.count("*").alias("of_gram"), F.min("n").alias("least")).where("least = 1")
     open_kinds = kinds.join(crowd.select("gram", (F.col("of_gram") > crowded).alias("crowded")), "gram")
-    wanted = open_kinds.groupBy(F.col("key").alias("w_key"), F.col("text_hash").alias("w_hash")).agg(
-        F.collect_list(F.struct("gram", "start", "windows", "offset", "n", "crowded")).alias("wanted")
+    wanted = open_kinds.groupBy("print").agg(F.collect_list(F.struct("gram", "start", "windows", "offset", "n", "crowded")).alias("wanted"))
+    # One of the rows of equal text gives the bytes.
+    source = texts.groupBy("print").agg(F.first("text").alias("text")).join(wanted, "print")
+    fetched = source.select("print", F.encode("text", "utf-8").alias("raw"), F.explode("wanted").alias("w")).select(
+        "print", "w.*", F.substring("raw", F.col("w.start").cast("int") + 1, F.col("w.windows") - 1 + length).alias("bytes")
     )
-    source = texts.join(wanted, F.col("key").eqNullSafe(F.col("w_key")) & (F.col("text_hash") == F.col("w_hash")))
-    fetched = source.select(
-        "key", "text_hash", F.encode("text", "utf-8").alias("raw"), F.explode("wanted").alias("w")
-    ).select(
-        "key", "text_hash", "w.*", F.substring("raw", F.col("w.start").cast("int") + 1, F.col("w.windows") - 1 + length).alias("bytes")
-    )
     total = kinds.agg(F.sum("windows")).first()[0] or 0
     lead = F.substring("bytes", F.col("offset") + 1, gram)
     buckets = (
@@ -259,18 +256,18 @@ def repeats(
         .sortWithinPartitions("lead")
         .drop("lead", "crowded")
     )
-    out = T.StructType([key_field, *(T.StructField(n, T.LongType()) for n in ("text_hash", "start", "end"))])
-    edges = buckets.mapInArrow(_sorted_bucket(length, to_arrow_type(key_field.dataType)), out)
+    edges = buckets.mapInArrow(_sorted_bucket(length), "print binary, start long, end long")
 
     # Crowded grams, window by window.
     step = F.explode(F.sequence(F.lit(0), F.col("windows") - 1))
     single = fetched.where("crowded").withColumn("step", step).withColumn("window", F.substring("bytes", F.col("step") + 1, length))
     digest = F.substring(F.sha2("window", 256), 1, 32)
-    single = single.select("key", "text_hash", "n", (F.col("start") + F.col("step")).alias("start"), digest.alias("digest"))
+    single = single.select("print", "n", (F.col("start") + F.col("step")).alias("start"), digest.alias("digest"))
     twice = single.groupBy("digest").agg(F.sum("n").alias("in_all")).where("in_all > 1").select("digest")
-    hot = single.where("n = 1").join(twice, "digest").select("key", "text_hash", "start", (F.col("start") + length).alias("end"))
+    hot = single.where("n = 1").join(twice, "digest").select("print", "start", (F.col("start") + length).alias("end"))
     spans = whole.unionByName(edges).unionByName(hot)
-    return spans.groupBy("key", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    # Rows of equal text have given the same spans, which each task keeps once.
+    return spans.groupBy("print").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
 def _cut_out(texts: pa.Array, spans: pa.Array, characters: bool) -> tuple[list[bytes], np.ndarray, pa.Array]:
@@ -304,7 +301,6 @@ def _cut_out(texts: pa.Array, spans: pa.Array, characters: bool) -> tuple[list[b
 
 def remove_repeats(
     docs: DataFrame,
-    key: str = "doc_id",
     text: str = "text",
     length: int = LENGTH,
     characters: bool = False,
@@ -318,24 +314,26 @@ def remove_repeats(
     anywhere else, in another row or the same text; strings are judged on the
     input, and overlaps count. Nothing matches across texts. With ``characters`` a
     character stays whole unless all its bytes go. Null texts are empty; texts
-    shorter than ``length`` stay; rows repeated in full remove each other's text if
-    it is long enough. Null and repeated keys are fine: rows are told apart by key
-    and text. Columns of the added names are replaced.
+    shorter than ``length`` stay, and texts may be of any length. Rows of equal text
+    remove each other's text if it is long enough, however many they are, and are worked
+    on as one. Keys are not looked at. An empty table gives no rows. Columns of the added
+    names are replaced; other names do not clash.
+
+    Bytes are compared for all windows but those of segments that occur whole again, which
+    two hashes of 64 bits tell, one of the gram and one of the segment, and those of crowded
+    grams, which 128 bits of SHA-256 tell.
     """
-    found = repeats(docs, key, text, length, **options).select(
-        F.col("key").alias("__key"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans")
-    )
+    spans, print_of, of = (free_name(docs, name) for name in ("__spans", "__print", "__of"))
+    found = repeats(docs, text, length, **options).select(F.col("print").alias(of), F.col("spans").alias(spans))
     kept_fields = [f for f in docs.schema.fields if f.name.lower() not in (kept.lower(), removed.lower())]
-    rows = docs.select(*(F.col(f"`{f.name}`") for f in kept_fields))
-    rows = rows.withColumn("__text_hash", F.xxhash64(F.col(text).cast("string")))
-    rows = rows.join(found, rows[key].eqNullSafe(found["__key"]) & (F.col("__text_hash") == F.col("__hash")), "left")
-    rows = rows.drop("__key", "__hash", "__text_hash")
+    rows = docs.select(*(F.col(f"`{f.name}`") for f in kept_fields), _print(text).alias(print_of))
+    rows = rows.join(found, rows[print_of] == found[of], "left").drop(print_of, of)
     schema = T.StructType([*kept_fields, T.StructField(kept, T.BinaryType()), T.StructField(removed, SPAN)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, text):
-                left, _, runs = _cut_out(part.column(text).cast(pa.string()), part.column("__spans"), characters)
+                left, _, runs = _cut_out(part.column(text).cast(pa.string()), part.column(spans), characters)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(f.name) for f in kept_fields), pa.array(left, pa.binary()), runs], schema.names
                 )

@@ -245,6 +245,21 @@ def test_repeats_of_odd_texts(spark, odd):
     assert suffix_dedup.remove_repeats(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("keys", ["own", "equal", "null"])
+def test_repeats_of_very_many_equal_rows(spark, keys):
+    """Equal rows cost as much as their number, not its square."""
+    rng = np.random.default_rng(3)
+    text = " ".join(f"w{i}" for i in rng.integers(0, 1 << 40, 200))
+    other = "before " + text[500:900] + " after"
+    key = {"own": F.col("id"), "equal": F.lit(7), "null": F.lit(None)}[keys].cast("long")
+    docs = spark.range(0, 5000, 1, 16).select(key.alias("doc_id"), F.lit(text).alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(-1, other), (-2, "short")], docs.schema))
+    got = suffix_dedup.remove_repeats(docs)
+    rows = got.groupBy("kept", "removed").agg(F.count("*").alias("n")).collect()
+    found = sorted((bytes(r.kept), [tuple(x) for x in r.removed], r.n) for r in rows)
+    assert found == sorted([(b"", [(0, len(text))], 5000), (b"before  after", [(7, 407)], 1), (b"short", [], 1)])
+
+
 def test_blocks_of_hashing_do_not_matter(monkeypatch):
     rng = np.random.default_rng(8)
     text = "".join(rng.choice(list("abc "), 5000))
