@@ -2,17 +2,18 @@
 
 Text is scored as the bytes of its words: A-Z lower-cased, a space after each word
 and a line feed at the end, so every text has a probability, whatever its words. A
-context of up to ``depth`` bytes is a restaurant whose dishes are next bytes; its
+context of up to ``DEPTH`` bytes is a restaurant whose dishes are next bytes; its
 parent is the same context without its first byte, shared with all contexts that
-end alike, and a table opened here is a customer there. Seatings are sampled by Gibbs sweeps,
-and predictive probabilities averaged over the sampled seatings.
+end alike, and a table opened here is a customer there. Seatings are sampled by Gibbs
+sweeps, in which the tables of a dish are drawn given all others (``seating``), and
+predictive probabilities averaged over the sampled seatings.
 
 Texts are dealt into chunks. A chunk asks for the counts of its distinct words and
 for the probabilities of its distinct byte runs, and gives its own training counts
-with the request; requests meet in buckets, by hash for words, by the two bytes nearest to
-the predicted one for runs, where all restaurants below those two bytes are
-together. Only the 256 restaurants of one byte and their parent, 65,536 counts
-whatever the corpus, are seated on the driver.
+with the request; requests meet in buckets, by hash for words, by the three bytes nearest
+to the predicted one for runs, where all restaurants below those three bytes are
+together. Only the restaurants of up to two bytes, whose number is bounded whatever the
+corpus, are seated on the driver, once in every sweep.
 """
 
 from __future__ import annotations
@@ -26,13 +27,15 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerstats.llm.store import written
+from layerstats.llm.seating import STRENGTH, draw
+from layerstats.llm.store import forget, written
 from layerstats.llm.words import LOWER, SPACE, buffers, mix, word_hashes
 
 DEPTH = 6
 #: Discounts of restaurants by the length of their context, and their common strength.
 DISCOUNTS = (0.2, 0.5, 0.6, 0.7, 0.75, 0.8, 0.8)
-STRENGTH = 0.5
+#: Contexts of up to so many bytes are seated on the driver, longer ones in buckets.
+TOP = 2
 BURN_IN, SAMPLES = 2, 3
 CHUNK_BYTES, BUCKET_BYTES, BLOCK = 8 << 20, 16 << 20, 1 << 21
 #: Chunks whose requests one task of a bucket merges or answers.
@@ -153,7 +156,7 @@ def _inside(out: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 def _run_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix(keys >> np.uint64(8) & np.uint64(0xFFFF)) % np.uint64(buckets)).astype(np.int64)
+    return (mix(keys >> np.uint64(8) & np.uint64((1 << 8 * (TOP + 1)) - 1)) % np.uint64(buckets)).astype(np.int64)
 
 
 def _word_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -219,32 +222,44 @@ def _answer_words(table: pa.Table) -> pa.Table:
     )
 
 
-def seat(customers: np.ndarray, parent: np.ndarray, others: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of each dish after its customers have all come in again, one after the other.
+class Uniform:
+    """What stands above the restaurant without context: all symbols alike."""
 
-    ``others`` is the tables of the restaurant's other dishes, ``parent`` the dish's
-    probability in the parent restaurant. The first sixteen customers choose one
-    at a time; later ones in groups of an eighth of those seated, within which the odds stay.
+    def odds(self, dish: np.ndarray, tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # As in a restaurant of very many customers, where a few more change nothing.
+        return np.full(len(dish), 1e9 / 256), np.full(len(dish), 1e9)
+
+    def add(self, dish: np.ndarray, tables: np.ndarray) -> None:
+        pass
+
+
+class Above:
+    """The dishes of parent restaurants, while the restaurants below are seated anew.
+
+    ``base`` is each dish's probability one restaurant further up.
     """
-    order = np.argsort(-customers, kind="stable")
-    c, p, o = customers[order], parent[order], others[order]
-    tables = np.minimum(c, 1).astype(np.int64)
-    seated = 1
-    active = int(np.searchsorted(-c, -seated, side="left"))
-    while active:
-        group = 1 if seated < 16 else seated // 8
-        t = tables[:active]
-        new = (STRENGTH + discount * (o[:active] + t)) * p[:active]
-        odds = new / (new + seated - discount * t)
-        if group == 1:
-            tables[:active] += rng.random(active) < odds
-        else:
-            tables[:active] += rng.binomial(np.minimum(c[:active] - seated, group), np.clip(odds, 0, 1))
-        seated += group
-        active = int(np.searchsorted(-c, -seated, side="left"))
-    out = np.empty_like(tables)
-    out[order] = tables
-    return out
+
+    def __init__(self, discount: float, customers: np.ndarray, tables: np.ndarray, restaurant: np.ndarray, in_all: np.ndarray, tables_in_all: np.ndarray, base: np.ndarray):
+        self.discount, self.customers, self.tables, self.restaurant = discount, customers.copy(), tables, restaurant
+        self.in_all, self.tables_in_all, self.base = in_all.copy(), tables_in_all, base
+
+    def odds(self, dish: np.ndarray, tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For :func:`seating.draw`, when ``tables`` of a dish's customers have left."""
+        restaurant, left = self.restaurant[dish], self.customers[dish] - tables
+        seated = np.minimum(self.tables[dish], left)
+        # With the last customer a table closes; who comes first opens one again.
+        tables_there = self.tables_in_all[restaurant] - self.tables[dish] + np.maximum(seated, 1)
+        inside = left - self.discount * np.maximum(seated, 1) + (STRENGTH + self.discount * tables_there) * self.base[dish]
+        return inside, STRENGTH + self.in_all[restaurant] - tables
+
+    def add(self, dish: np.ndarray, tables: np.ndarray) -> None:
+        self.customers += np.bincount(dish, tables, len(self.customers)).astype(np.int64)
+        self.in_all += np.bincount(self.restaurant[dish], tables, len(self.in_all)).astype(np.int64)
+
+
+#: Dishes of a restaurant that are seated one after the other; of more, an eighth of those before at a time.
+IN_TURN = 16
+TURNS = np.minimum(np.arange(257), IN_TURN + np.ceil(np.log(np.maximum(np.arange(257), IN_TURN) / IN_TURN) / np.log(9 / 8)).astype(np.int64))
 
 
 class Level:
@@ -262,142 +277,195 @@ class Level:
         self.customers = np.zeros(len(keys), np.int64)
         self.tables = np.zeros(len(keys), np.int64)
 
-    def totals(self, values: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(values, self.first)[self.restaurant] if len(values) else values
+    def in_all(self, values: np.ndarray) -> np.ndarray:
+        """Sums by restaurant."""
+        return np.add.reduceat(values, self.first) if len(values) else values
+
+    def sent(self) -> np.ndarray:
+        """The parents' customers: the tables here."""
+        return np.bincount(self.parent, self.tables, len(self.parents)).astype(np.int64)
 
     def open(self, customers: np.ndarray) -> np.ndarray:
         """One table for each dish with customers, to begin with; the parents' customers."""
         self.customers, self.tables = customers, np.minimum(customers, 1)
-        return np.bincount(self.parent, self.tables, len(self.parents)).astype(np.int64)
+        return self.sent()
 
     def predict(self, above: np.ndarray) -> np.ndarray:
         """Probability of each dish, given its probability in the parent."""
         own = np.maximum(self.customers - self.discount * self.tables, 0)
-        share = STRENGTH + self.discount * self.totals(self.tables)
-        return (own + share * above[self.parent]) / (STRENGTH + self.totals(self.customers))
+        share = (STRENGTH + self.discount * self.in_all(self.tables))[self.restaurant]
+        return (own + share * above[self.parent]) / (STRENGTH + self.in_all(self.customers))[self.restaurant]
 
-    def sweep(self, customers: np.ndarray, above: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-        """Seat each dish's customers anew; the parents' customers."""
+    def above(self, base: np.ndarray) -> Above:
+        """This level as the one above another; ``base`` is the probability of its dishes' parents."""
+        return Above(self.discount, self.customers, self.tables, self.restaurant, self.in_all(self.customers), self.in_all(self.tables), base[self.parent])
+
+    def sweep(self, customers: np.ndarray, above: Above | Uniform, rng: np.random.Generator) -> np.ndarray:
+        """Seat each dish's customers anew, given all that stay seated; the parents' customers.
+
+        The dishes of a restaurant go one after the other, those of different
+        restaurants at once. All of a dish's tables leave the parent first.
+        """
         # Tables that closed for want of customers are gone before anyone sits down.
-        tables = np.minimum(self.tables, customers)
-        self.customers = customers
-        self.tables = seat(customers, above[self.parent], self.totals(tables) - tables, self.discount, rng)
-        return np.bincount(self.parent, self.tables, len(self.parents)).astype(np.int64)
+        tables = np.clip(self.tables, np.minimum(customers, 1), customers)
+        above.add(self.parent, tables - self.tables)
+        self.customers, self.tables = customers, tables
+        there = self.in_all(tables)
+        # A single customer has a table, whatever the others do.
+        moving = np.flatnonzero(customers > 1)
+        place = self.restaurant[moving]
+        new = np.ones(len(place), bool)
+        new[1:] = place[1:] != place[:-1]
+        turn = TURNS[np.arange(len(place)) - np.maximum.accumulate(np.where(new, np.arange(len(place)), 0))]
+        order = np.argsort(turn, kind="stable")
+        for part in np.split(order, np.cumsum(np.bincount(turn))[:-1]) if len(turn) else ():
+            dish, where = moving[part], place[part]
+            own, parent = tables[dish], self.parent[dish]
+            inside, of = above.odds(parent, own)
+            now = draw(self.discount, customers[dish], there[where] - own, inside, of, rng)
+            tables[dish] = now
+            above.add(parent, now - own)
+            np.add.at(there, where, now - own)
+        return self.sent()
 
 
 class Subtree:
-    """All restaurants of a bucket with contexts of two bytes and more."""
+    """The restaurants of contexts from ``longest`` down to ``shortest`` bytes, and the dishes above them."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, seed: int):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, longest: int = DEPTH, shortest: int = TOP + 1):
         self.levels, self.counts = [], counts
-        self.rng = np.random.Generator(np.random.PCG64(seed))
         customers = counts
-        for length in range(DEPTH, 1, -1):
+        for length in range(longest, shortest - 1, -1):
             level = Level(keys, length)
             customers = level.open(customers)
             self.levels.append(level)
             keys = level.parents
         self.top, self.top_customers = keys, customers
 
-    def predict(self, top: np.ndarray) -> np.ndarray:
-        """Probability of each run's last symbol; ``top`` has those after one byte, by (byte, symbol)."""
-        p = top[self.top.astype(np.int64)]
+    def predict(self, p: np.ndarray) -> np.ndarray:
+        """Probability of each run's last symbol, given that of the dishes above all levels."""
         for level in reversed(self.levels):
             p = level.predict(p)
         return p
 
-    def sweep(self, top: np.ndarray) -> None:
-        above = [top[self.top.astype(np.int64)]]
+    def sweep(self, p: np.ndarray, above: Above | Uniform, rng: np.random.Generator) -> None:
+        """One sweep from the longest contexts up, each level given the one above as it was."""
+        views = [above]
         for level in self.levels[:0:-1]:
-            above.append(level.predict(above[-1]))
+            views.append(level.above(p))
+            p = level.predict(p)
         customers = self.counts
         for level in self.levels:
-            customers = level.sweep(customers, above.pop(), self.rng)
+            customers = level.sweep(customers, views.pop(), rng)
         self.top_customers = customers
 
-    def samples(self, top: np.ndarray) -> Iterator[int]:
-        """The numbers of the seatings that count, one after the other."""
-        for step in range(BURN_IN + SAMPLES):
-            self.sweep(top)
-            if step >= BURN_IN:
-                yield step - BURN_IN
-
-    def tables(self) -> bytes:
+    def seating(self) -> bytes:
         return packed(np.concatenate([level.tables for level in self.levels]))
 
-    def restore(self, tables: bytes) -> None:
-        """The seating that :meth:`tables` told of."""
-        flat, at, customers = unpacked(tables, np.int64), 0, self.counts
+    def restore(self, seating: bytes) -> None:
+        """The seating that :meth:`seating` told of."""
+        flat, at, customers = unpacked(seating, np.int64), 0, self.counts
         for level in self.levels:
             level.customers, level.tables = customers, flat[at : at + len(level.keys)]
-            customers = np.bincount(level.parent, level.tables, len(level.parents)).astype(np.int64)
+            customers = level.sent()
             at += len(level.keys)
         self.top_customers = customers
 
 
-def seat_top(customers: np.ndarray, seed: int, sweeps: int = BURN_IN + SAMPLES) -> np.ndarray:
-    """Probabilities after one byte, by (byte, symbol), from the customers of those 256 restaurants."""
-    rng = np.random.Generator(np.random.PCG64(seed))
-    below, root = Level(np.arange(1 << 16, dtype=np.uint64), 1), Level(np.arange(256, dtype=np.uint64), 0)
-    uniform = np.full(1, 1 / 256)
-    root.open(below.open(customers))
-    for _ in range(sweeps):
-        root.sweep(below.sweep(customers, root.predict(uniform), rng), uniform, rng)
-    return below.predict(root.predict(uniform))
+class Top:
+    """The restaurants of up to ``TOP`` bytes, which all buckets share."""
+
+    def __init__(self, keys: np.ndarray, customers: np.ndarray):
+        self.rng = np.random.Generator(np.random.PCG64(1))
+        self.keys, self.tree = keys, Subtree(keys, customers, TOP, 0)
+        for _ in range(BURN_IN):
+            self.sweep(customers)
+
+    def sweep(self, customers: np.ndarray) -> None:
+        self.tree.counts = customers
+        self.tree.sweep(np.full(1, 1 / 256), Uniform(), self.rng)
+
+    def told(self) -> dict[str, np.ndarray]:
+        """What restaurants below have to know."""
+        own, rest = self.tree.levels[0], self.tree.levels[1:]
+        base = np.full(1, 1 / 256)
+        for level in reversed(rest):
+            base = level.predict(base)
+        view = own.above(base)
+        held = ("customers", "tables", "restaurant", "in_all", "tables_in_all", "base")
+        return {"keys": self.keys, "p": own.predict(base), **{name: getattr(view, name) for name in held}}
+
+
+def _within(top: dict[str, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, Above]:
+    """Probabilities and parents of some dishes of the top."""
+    at = np.searchsorted(top["keys"], keys)
+    places, restaurant = np.unique(top["restaurant"][at], return_inverse=True)
+    return top["p"][at], Above(
+        DISCOUNTS[TOP], top["customers"][at], top["tables"][at], restaurant, top["in_all"][places], top["tables_in_all"][places], top["base"][at]
+    )
+
+
+def _collected(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Dishes of the restaurants of ``TOP`` bytes in order, and their customers, summed over buckets.
+
+    There are at most 256 to the power of ``TOP`` + 1, whatever the corpus, and far fewer in UTF-8 text.
+    """
+    each = rows.select(F.explode(F.arrays_zip("dishes", "customers")).alias("x"))
+    table = each.groupBy(F.col("x.dishes").alias("dish")).agg(F.sum("x.customers").alias("n")).toArrow()
+    keys, customers = table["dish"].to_numpy(), table["n"].to_numpy()
+    order = np.argsort(keys)
+    return keys[order].astype(np.uint64), customers[order].astype(np.int64)
 
 
-def _subtree(keys: bytes, counts: bytes, bucket: int) -> Subtree:
-    return Subtree(unpacked_keys(keys), unpacked(counts, np.int64), 7919 + bucket)
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each bucket sends to the top when every dish with customers has one table."""
+    for batch in batches:
+        for keys, counts in zip(batch.column("keys"), batch.column("counts"), strict=True):
+            keys, counts = unpacked_keys(keys.as_py()), unpacked(counts.as_py(), np.int64)
+            mask = np.uint64((1 << 8 * (TOP + 1)) - 1)
+            dishes = np.unique(keys & mask)
+            below = np.unique(keys[counts > 0] & np.uint64((1 << 8 * (TOP + 2)) - 1))
+            sent = np.bincount(np.searchsorted(dishes, below & mask), minlength=len(dishes))
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(dishes)], pa.int32()), pa.array(x.astype(np.int64))) for x in (dishes, sent)]
+            yield pa.RecordBatch.from_arrays(lists, ["dishes", "customers"])
 
 
-def _collected(seated: DataFrame, samples: int) -> np.ndarray:
-    """Customers of the one-byte restaurants, summed over buckets: at most 65,536 rows a sample."""
-    rows = seated.select("sample", F.explode(F.arrays_zip("dishes", "customers")).alias("x"))
-    out = np.zeros((samples, 1 << 16), np.int64)
-    for row in rows.groupBy("sample", F.col("x.dishes").alias("dish")).agg(F.sum("x.customers").alias("n")).collect():
-        out[row["sample"], row["dish"]] = row["n"]
-    return out
+SEATED = "bucket int, keys binary, counts binary, seating binary, sampled array<binary>, dishes array<long>, customers array<long>"
 
 
-def _seated(top: np.ndarray | None) -> object:
-    """Each bucket's sampled seatings and what they send to the restaurants of one byte; without ``top``, the first seating."""
+def _seated(top: dict[str, np.ndarray], step: int) -> object:
+    """One sweep of each bucket, kept as a sample after ``BURN_IN`` of them, and what it sends to the top."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for keys, counts, bucket in zip(*(batch.column(c).to_pylist() for c in ("keys", "counts", "bucket")), strict=True):
-                tree = _subtree(keys, counts, bucket)
-                told = [
-                    (tree.tables() if top is not None else b"", tree.top_customers.tolist())
-                    for _ in (tree.samples(top) if top is not None else (0,))
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([bucket] * len(told), pa.int32()),
-                        pa.array(np.arange(len(told), dtype=np.int32)),
-                        pa.array([tree.top.astype(np.int32).tolist()] * len(told), pa.list_(pa.int32())),
-                        pa.array([x[1] for x in told], pa.list_(pa.int64())),
-                        pa.array([x[0] for x in told], pa.binary()),
-                    ],
-                    ["bucket", "sample", "dishes", "customers", "tables"],
-                )
+            for row in batch.to_pylist():
+                tree = Subtree(unpacked_keys(row["keys"]), unpacked(row["counts"], np.int64))
+                if step:
+                    tree.restore(row["seating"])
+                p, above = _within(top, tree.top)
+                tree.sweep(p, above, np.random.Generator(np.random.PCG64([7919, row["bucket"], step])))
+                seating = tree.seating()
+                new = {
+                    "bucket": row["bucket"], "keys": row["keys"], "counts": row["counts"], "seating": seating,
+                    "sampled": (row["sampled"] if step else []) + ([seating] if step >= BURN_IN else []),
+                    "dishes": tree.top.astype(np.int64), "customers": tree.top_customers,
+                }
+                kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(new.values(), kinds, strict=True)], list(new))
 
     return run
 
 
-SEATED = "bucket int, sample int, dishes array<int>, customers array<long>, tables binary"
-
-
-def _answer_runs(tops: np.ndarray) -> object:
+def _answer_runs(tops: list[tuple[np.ndarray, np.ndarray]]) -> object:
     def run(requests: pa.Table, model: pa.Table) -> pa.Table:
         if not requests.num_rows:
             return pa.table({"kind": pa.array([], pa.string()), "bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int32()), "values": pa.array([], pa.binary())})
-        model = model.sort_by("sample")
-        tree = _subtree(model["keys"][0].as_py(), model["counts"][0].as_py(), model["bucket"][0].as_py())
+        tree = Subtree(unpacked_keys(model["keys"][0].as_py()), unpacked(model["counts"][0].as_py(), np.int64))
         keys = tree.levels[0].keys
         total = np.zeros(len(keys))
-        for sample, tables in zip(model["sample"].to_pylist()[1:], model["tables"][1:], strict=True):
-            tree.restore(tables.as_py())
-            total += tree.predict(tops[sample])
+        for (top, p), seating in zip(tops, model["sampled"][0], strict=True):
+            tree.restore(seating.as_py())
+            total += tree.predict(p[np.searchsorted(top, tree.top)])
         value = np.log10(total / SAMPLES).astype(np.float32)
         asked = (unpacked_keys(k.as_py()) for k in requests["keys"])
         values = [packed(value[np.searchsorted(keys, k)]) for k in asked]
@@ -504,13 +572,17 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     merged = "bucket int, keys binary, counts binary"
     model = asked.groupBy("bucket", "lot").applyInArrow(_merge, merged)
     model = written(model.groupBy("bucket").applyInArrow(_merge, merged) if lots > 1 else model, "runs")
-    start = seat_top(_collected(model.mapInArrow(_seated(None), SEATED), 1)[0], 1)
-    seated = written(model.mapInArrow(_seated(start), SEATED), "seatings")
-    customers = _collected(seated, SAMPLES)
-    tops = np.stack([seat_top(customers[s], 2 + s) for s in range(SAMPLES)])
-    # A bucket's runs come once, as the row of sample -1, and its seatings after them.
-    trained = model.withColumn("sample", F.lit(-1)).unionByName(seated.select("bucket", "sample", "tables"), allowMissingColumns=True)
-    trained = trained.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
+    top = Top(*_collected(model.mapInArrow(_opened, "dishes array<long>, customers array<long>")))
+    seated, tops = model, []
+    for step in range(BURN_IN + SAMPLES):
+        before, seated = seated, written(seated.mapInArrow(_seated(top.told(), step), SEATED), "seatings")
+        if step:
+            forget(before)
+        if step >= BURN_IN:
+            told = top.told()
+            tops.append((told["keys"], told["p"]))
+        top.sweep(_collected(seated)[1])
+    trained = seated.select("bucket", "keys", "counts", "sampled").withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
     answers = (
         asked.groupBy("bucket", "lot")
         .cogroup(trained.groupBy("bucket", "lot"))

@@ -7,6 +7,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from layerstats.sources.shared import remove_dir
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; where it is unset, a folder in the warehouse."""
@@ -19,7 +21,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def forget(table: DataFrame) -> None:
+    """Delete what :func:`written` wrote, once nothing is going to read it again."""
+    remove_dir(table.sparkSession, table.written_to)
 
 
 def written_in_turn(frames: Iterable[DataFrame], name: str) -> DataFrame:

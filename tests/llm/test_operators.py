@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import brute
 from brute import LONG, PASSAGE
-from layerstats.llm import bpe, chat, contamination, jaccard_join, language, pitman_yor, suffix_dedup, topk, toxicity, url_filter
+from layerstats.llm import bpe, chat, contamination, jaccard_join, language, pitman_yor, seating, suffix_dedup, topk, toxicity, url_filter
 from layerstats.llm.components import components
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -144,6 +144,17 @@ def test_model_base_score_and_probabilities(spark, documents):
         assert r.score < 0 and r.perplexity == pytest.approx(10 ** (-r.score / r.n_tokens))
 
 
+def seated(keys, counts, sweeps=3):
+    """A bucket of all runs and the top above it, after some sweeps."""
+    tree = pitman_yor.Subtree(keys, counts)
+    top = pitman_yor.Top(tree.top, tree.top_customers)
+    for step in range(sweeps):
+        p, above = pitman_yor._within(top.told(), tree.top)
+        tree.sweep(p, above, np.random.default_rng(step))
+        top.sweep(tree.top_customers)
+    return tree, top
+
+
 def test_predictions_sum_to_one():
     """After any context, all 256 symbols together have probability one, at every level."""
     rng = np.random.default_rng(3)
@@ -152,50 +163,111 @@ def test_predictions_sum_to_one():
     context = keys[len(keys) // 2] >> np.uint64(8)
     every = (context << np.uint64(8)) + np.arange(256, dtype=np.uint64)
     keys, counts = pitman_yor._distinct([(keys, counts), (every, np.zeros(256, np.int64))])
-    same = keys >> np.uint64(8) & np.uint64(0xFFFF) == context & np.uint64(0xFFFF)
-    tree = pitman_yor.Subtree(keys[same], counts[same], 1)
-    top = pitman_yor.seat_top(np.bincount(tree.top.astype(int), tree.top_customers, 1 << 16).astype(np.int64), 1)
-    for _ in tree.samples(top):
-        p = tree.predict(top)[np.searchsorted(keys[same], every)]
-        assert p.sum() == pytest.approx(1)
-        kept = tree.tables()
-    again = pitman_yor.Subtree(keys[same], counts[same], 1)
-    again.restore(kept)
-    assert np.array_equal(again.predict(top), tree.predict(top))
-
-
-def test_seating_is_that_of_a_restaurant():
-    """Mean tables of many restaurants with one dish, whose parent serves nothing else, against the recurrence."""
-    n, d, s = 40, 0.6, pitman_yor.STRENGTH
-    tables = pitman_yor.seat(np.full(20_000, n), np.ones(20_000), np.zeros(20_000, np.int64), d, np.random.default_rng(1))
-    mean = 1.0
-    for seated in range(1, n):
-        mean += (s + d * mean) / (seated + s)
-    assert tables.mean() == pytest.approx(mean, rel=0.05)
-
-
-def test_seating_of_many_customers():
-    """Odds that stay within groups of an eighth are near the recurrence for common dishes too; a quarter is not."""
-    n, d, s = 1000, 0.6, pitman_yor.STRENGTH
-    tables = pitman_yor.seat(np.full(20_000, n), np.ones(20_000), np.zeros(20_000, np.int64), d, np.random.default_rng(2))
-    mean = 1.0
-    for seated in range(1, n):
-        mean += (s + d * mean) / (seated + s)
-    assert tables.mean() == pytest.approx(mean, rel=0.075)
+    tree, top = seated(keys, counts)
+    p = tree.predict(top.told()["p"])
+    assert p[np.searchsorted(keys, every)].sum() == pytest.approx(1)
+    again = pitman_yor.Subtree(keys, counts)
+    again.restore(tree.seating())
+    assert np.array_equal(again.predict(top.told()["p"]), p)
+
+
+def test_predictions_against_a_plain_version():
+    """The same seating, in dictionaries by context."""
+    rng = np.random.default_rng(4)
+    text = pa.array([" ".join(rng.choice(["ab", "abc", "b", "cab", "é"], 300))])
+    keys, counts = pitman_yor._distinct_runs(text, np.ones(1, np.int64))
+    tree, top = seated(keys, counts)
+    held = collections.defaultdict(dict)
+    for length, level in zip(range(pitman_yor.DEPTH, -1, -1), [*tree.levels, *top.tree.levels], strict=True):
+        for key, c, t in zip(level.keys.tolist(), level.customers, level.tables, strict=True):
+            held[length, key >> 8][key & 0xFF] = int(c), int(t)
+
+    def p(length, context, symbol):
+        if length < 0:
+            return 1 / 256
+        d, room = pitman_yor.DISCOUNTS[length], held[length, context]
+        c, t = room.get(symbol, (0, 0))
+        above = p(length - 1, context & ((1 << 8 * max(0, length - 1)) - 1), symbol)
+        tables = sum(x[1] for x in room.values())
+        return (max(0, c - d * t) + (seating.STRENGTH + d * tables) * above) / (seating.STRENGTH + sum(x[0] for x in room.values()))
+
+    got = tree.predict(top.told()["p"])
+    assert [p(pitman_yor.DEPTH, k >> 8, k & 0xFF) for k in keys.tolist()] == pytest.approx(got.tolist())
+    for level in [*tree.levels, *top.tree.levels]:
+        assert (level.tables <= level.customers).all() and ((level.tables > 0) == (level.customers > 0)).all()
+
+
+def exact_tables(c, p, others, d):
+    """Chance of each number of tables from 1 on, by all ways to sit."""
+    ways = np.append(0.0, np.full(c, -np.inf))
+    with np.errstate(divide="ignore"):
+        for n in range(c):
+            ways = np.logaddexp(np.append(-np.inf, ways[:-1]), ways + np.log(np.maximum(0, n - d * np.arange(c + 1))))
+    chance = np.array([ways[t] + sum(np.log(p * (seating.STRENGTH + d * (others + i))) for i in range(1, t)) for t in range(1, c + 1)])
+    chance = np.exp(chance - chance.max())
+    return chance / chance.sum()
+
+
+@pytest.mark.parametrize("c, p, others, d", [
+    (10, 1.0, 0, 0.75), (10, 0.01, 20, 0.75), (15, 0.1, 50, 0.8), (30, 0.01, 100, 0.8), (50, 0.02, 30, 0.6),
+    (64, 0.5, 3, 0.2), (65, 0.5, 3, 0.2), (150, 0.02, 30, 0.6), (150, 0.3, 5000, 0.8), (150, 0.0001, 10, 0.5), (400, 0.2, 300, 0.75),
+])
+def test_tables_follow_the_exact_posterior(c, p, others, d):
+    n, much = 20_000, 1e8
+    chance = exact_tables(c, p, others, d)
+    drawn = seating.draw(d, np.full(n, c), np.full(n, others), np.full(n, p * much), np.full(n, much), np.random.default_rng(1))
+    t = np.arange(1, c + 1)
+    assert drawn.min() >= 1 and drawn.max() <= c
+    assert drawn.mean() == pytest.approx((chance * t).sum(), rel=0.03)
+    assert np.abs(np.bincount(drawn, minlength=c + 1)[1:].cumsum() / n - chance.cumsum()).max() < 0.05
+
+
+def test_sweeps_follow_the_exact_posterior_of_a_restaurant():
+    """Two dishes whose numbers of tables depend on each other; the parent's probabilities are fixed."""
+
+    class Fixed(pitman_yor.Uniform):
+        def odds(self, dish, tables):
+            return np.array([0.3, 0.05])[dish] * 1e8, np.full(len(dish), 1e8)
+
+    c, d = (8, 6), pitman_yor.DISCOUNTS[3]
+    ways = [seating.log_stirling(d, n, n)[n] for n in c]
+    weight = np.array([
+        [np.exp(ways[0][x] + ways[1][y] + x * np.log(0.3) + y * np.log(0.05) + sum(np.log(seating.STRENGTH + d * i) for i in range(x + y))) for y in range(1, c[1] + 1)]
+        for x in range(1, c[0] + 1)
+    ])
+    weight /= weight.sum()
+    want = (weight.sum(1) @ np.arange(1, 9), weight.sum(0) @ np.arange(1, 7))
+    level, rng = pitman_yor.Level(np.array([0x61626330, 0x61626331], np.uint64), 3), np.random.default_rng(2)
+    level.open(np.array(c))
+    seen = []
+    for _ in range(8000):
+        level.sweep(np.array(c), Fixed(), rng)
+        seen.append(level.tables.copy())
+    assert np.mean(seen, 0) == pytest.approx(want, rel=0.03)
 
 
 def test_six_bytes_are_remembered():
     """What follows five equal bytes is told by the sixth; two sweeps go before the three seatings that count."""
     text = pa.array([" ".join(["xabcdeq", "yabcdez"] * 200)])
     keys, counts = pitman_yor._distinct_runs(text, np.ones(1, np.int64))
-    same = keys >> np.uint64(8) & np.uint64(0xFFFF) == np.uint64(int.from_bytes(b"de", "big"))
-    tree = pitman_yor.Subtree(keys[same], counts[same], 1)
-    sweeps, sweep = [], tree.sweep
-    tree.sweep = lambda top: (sweeps.append(1), sweep(top))
-    assert len(list(tree.samples(np.full(1 << 16, 1 / 256)))) == 3 and len(sweeps) == 5
-    p = tree.predict(np.full(1 << 16, 1 / 256))
-    ends = [int(k).to_bytes(8, "big") for k in keys[same]]
-    assert sorted(e[-7:] for e in ends) == [b"xabcdeq", b"yabcdez"] and (p > 0.9).all()
+    tree, top = seated(keys, counts)
+    p = tree.predict(top.told()["p"])
+    ends = {int(k).to_bytes(8, "big")[-7:]: x for k, x in zip(keys, p, strict=True)}
+    assert [k for k in ends if k[-3:-1] == b"de"] and all(x > 0.9 for k, x in ends.items() if k[-3:-1] == b"de")
+    assert (pitman_yor.DEPTH, pitman_yor.BURN_IN, pitman_yor.SAMPLES) == (6, 2, 3)
+
+
+def test_scores_do_not_depend_on_buckets(spark, documents, monkeypatch):
+    """Counts and probabilities of one bucket and of many, up to what chance does."""
+    docs = spark.createDataFrame([d[:2] for d in documents[:60]], "doc_id long, text string")
+    learn = F.col("doc_id") % 7 != 2
+    one = {r.doc_id: r for r in pitman_yor.score(docs, learn).collect()}
+    monkeypatch.setattr(pitman_yor, "BUCKET_BYTES", 1 << 13)
+    monkeypatch.setattr(pitman_yor, "CHUNK_BYTES", 1 << 14)
+    monkeypatch.setattr(pitman_yor, "LOT", 3)
+    for r in pitman_yor.score(docs, learn).collect():
+        assert (r.n_tokens, r.n_known, r.base_score) == (one[r.doc_id].n_tokens, one[r.doc_id].n_known, pytest.approx(one[r.doc_id].base_score))
+        assert abs(r.score - one[r.doc_id].score) < 0.6 - 0.03 * r.score
 
 
 def test_symbols():
