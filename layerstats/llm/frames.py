@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -23,6 +24,14 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Spark uses Python workers again, and an idle one should hold little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in runs of about ``most`` bytes of text; a longer text is a run of its own."""
     sizes = np.zeros(batch.num_rows + 1, np.int64)
@@ -35,6 +44,7 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Itera
         stop = max(at + 1, int(np.searchsorted(sizes, sizes[at] + most, side="right")) - 1)
         yield batch.slice(at, stop - at)
         at = stop
+    give_back()
 
 
 def with_columns(

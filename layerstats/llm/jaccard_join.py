@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerstats.llm.components import components
-from layerstats.llm.frames import pieces, with_columns
+from layerstats.llm.frames import give_back, with_columns
 from layerstats.llm.store import written
 from layerstats.llm.words import as_sets, mix, shingle_hashes, word_hashes
 
@@ -120,6 +120,7 @@ def _band_edges(least: float) -> object:
                 tail = tail.slice(last)
         if tail is not None:
             yield from pairs(tail, _group_keys(tail))
+            give_back()
 
     def pairs(table: pa.Table, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
         ids = table["cid"].combine_chunks()
@@ -208,6 +209,8 @@ def _verified(threshold: float) -> object:
             a, b = np.nonzero(similar)
             left.append(a + at), right.append(b)
         root = _forest(n, np.concatenate(left), np.concatenate(right))
+        del sets, shingle, number, owner, order
+        give_back()
         return pd.DataFrame({"cid": group["cid"], "links": links.astype(np.int64), "root": group["cid"].to_numpy()[root]})
 
     return run

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerstats.llm.frames import free_name, pieces
+from layerstats.llm.frames import free_name, give_back, pieces
 from layerstats.llm.store import written
 from layerstats.llm.words import _TABLE, _power, buffers, mix
 
@@ -160,6 +160,8 @@ def _sorted_bucket(length: int) -> object:
                 held = table.num_rows - last
         if held:
             yield from work(pa.concat_tables(rest).combine_chunks())
+        rest.clear()
+        give_back()
 
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
         # The rows come in order of their leads, and equal grams have equal leads, but grams of one lead may alternate.

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerstats.llm.frames import with_columns
+from layerstats.llm.frames import give_back, with_columns
 from layerstats.llm.words import LOWER, buffers, range_hashes, spans
 
 GAP = np.ones(256, bool)
@@ -206,6 +206,8 @@ def fit(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches), rows_schema)
         weights, bias = train(table["__text"], table["__label"].to_numpy(), bits, steps)
+        del table
+        give_back()
         yield pa.RecordBatch.from_pydict({"weights": [weights.tobytes()], "bias": [bias]})
 
     rows_schema = pa.schema([("__label", pa.int32()), ("__text", pa.string())])
