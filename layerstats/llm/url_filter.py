@@ -94,11 +94,12 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
         .withColumn("__prefix", F.substring("__digest", 1, PREFIX))
     )
     r = ready.alias("r")
-    hit = (F.col("__prefix") == F.col("r.prefix")) & (F.col("__digest") == F.col("r.digest")) & F.startswith("__path", F.col("r.path"))
+    # Joined on the short prefix alone; the full digest and the rest of the path confirm.
+    hit = (F.col("__digest") == F.col("r.digest")) & F.startswith("__path", F.col("r.path"))
     name = F.concat("r.host", "r.path")
     # The smallest order decides; null, no rule, only where there is nothing else.
-    order = F.when(F.col("r.host").isNotNull(), F.struct((-F.length(name)).alias("size"), (F.col("r.verdict") != "block").alias("other"), name.alias("name"), F.col("r.verdict").alias("verdict")))
-    best = looked.join(r, hit, "left").groupBy("__url", "__host", "__path").agg(F.min(order).alias("__best"))
+    order = F.when(hit, F.struct((-F.length(name)).alias("size"), (F.col("r.verdict") != "block").alias("other"), name.alias("name"), F.col("r.verdict").alias("verdict")))
+    best = looked.join(r, F.col("__prefix") == F.col("r.prefix"), "left").groupBy("__url", "__host", "__path").agg(F.min(order).alias("__best"))
     kept = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     return pages.join(best, pages[url].cast("string").eqNullSafe(best["__url"]), "left").select(
         *kept,
