@@ -307,6 +307,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) ->
     the rows with the same set, ``n_links`` the number of other rows linked to this
     one, copies and repeated rows included. A text without words (null, empty) is linked to nothing
     and its own class. Null keys are never the least unless a class has no other.
+    Texts may be of any length; an empty table gives no rows; other columns are not looked at,
+    whatever their names.
     """
     found = classes(docs, key, text, **options)
     rows = name_sets(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "text", options.get("size", 5))
@@ -321,8 +323,9 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) ->
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each class the row with the least key, and one only.
 
-    Of rows with the same least key that with the least hash of its text stays.
-    Texts without words all stay. Which rows stay is decided on keys and hashes
+    Of rows with the same least key that with the least hash of its text stays, and of
+    those that agree in both, the one with the least hash of all columns.
+    Texts without words all stay, and may be of any length. Empty tables give no rows. Which rows stay is decided on keys and hashes
     alone; the texts are shuffled once, to be met by that decision.
     """
     found = classes(docs, key, text, **options).select("cid", "root")
@@ -334,6 +337,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     worded = F.coalesce(plain.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     hashed = docs.where(worded).withColumn("__hash", F.xxhash64(plain))
     met = hashed.join(stays, hashed[key].eqNullSafe(stays["__key"]) & (F.col("__hash") == F.col("__best")))
-    single = met.dropDuplicates(["__key", "__best"])
+    # Of rows that agree in key and text, the one with the least hash of all that can be hashed.
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return single.select(*columns).unionByName(docs.where(~worded).select(*columns))
+    hashable = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    single = met.groupBy("__key", "__best").agg(F.min_by(F.struct(*columns), F.xxhash64(*hashable)).alias("__row"))
+    return single.select(*(F.col(f"__row.`{c}`") for c in docs.columns)).unionByName(docs.where(~worded).select(*columns))
