@@ -5,7 +5,8 @@ S shingles a document is cut into windows of 2S shingles, S apart: any S shingle
 in a row lie in one of them. A window whose MinHash signature meets an item's in
 one value is a candidate, with enough values that an item contained to the
 threshold is met with the recall asked for. The whole document's shingles then
-confirm or refute a candidate exactly.
+confirm or refute a candidate exactly. Items of fewer words than a shingle are partitioned
+by their length, and met by the documents' runs of so many words.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerstats.llm.frames import with_columns
+from layerstats.llm.frames import free_name, with_columns
+from layerstats.llm.store import written, written_in_turn
 from layerstats.llm.words import as_sets, shingle_hashes, word_hashes
 
 SLOTS = 22
@@ -39,10 +41,18 @@ class Index:
 
     def __init__(self, texts: pa.Array, size: int, threshold: float, recall: float):
         words, owner = word_hashes(texts)
+        length = np.bincount(owner, minlength=len(texts))
         shingles, owner = shingle_hashes(words, owner, len(texts), size)
         self.shingles, self.bounds = as_sets(shingles, owner, len(texts))
         self.size, self.threshold = size, threshold
-        counts = np.diff(self.bounds)
+        # Short items by length: their only run, and which item it is.
+        self.short = {}
+        for n in np.unique(length[(length > 0) & (length < size)]).tolist():
+            items = np.flatnonzero(length == n)
+            runs = self.shingles[self.bounds[items]]
+            order = np.argsort(runs, kind="stable")
+            self.short[n] = (runs[order], items[order])
+        counts = np.where(length < size, 0, np.diff(self.bounds))
         k = hashes_needed(threshold, recall)
         rng = np.random.Generator(np.random.PCG64(977))
         self.factors = rng.integers(1, 1 << 63, k, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -68,8 +78,8 @@ class Index:
 
     def find(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text number, item number and containment of every item found in a text, in that order."""
-        words, owner = word_hashes(texts)
-        shingles, owner = shingle_hashes(words, owner, len(texts), self.size)
+        words, word_owner = word_hashes(texts)
+        shingles, owner = shingle_hashes(words, word_owner, len(texts), self.size)
         begin = np.searchsorted(owner, np.arange(len(texts) + 1))
         maybe = np.flatnonzero(self.slots[shingles >> np.uint64(64 - SLOTS)])
         pairs: set[tuple[int, int]] = set()
@@ -87,7 +97,7 @@ class Index:
             last = np.minimum(first + 2 * length, begin[text + 1])
             for start in range(0, len(first), 4096):
                 pairs.update(self._candidates(shingles, text, first, last, slice(start, start + 4096), tables))
-        found = []
+        found = [(t, i, 1.0) for t, i in self._short(words, word_owner, len(texts))]
         held: tuple[int, np.ndarray] = (-1, np.empty(0, np.uint64))
         for t, i in sorted(pairs):
             if held[0] != t:
@@ -97,9 +107,20 @@ class Index:
             share = float((held[1][at] == item).sum() / len(item))
             if share >= self.threshold:
                 found.append((t, i, share))
+        found.sort()
         columns = zip(*found, strict=True) if found else ((), (), ())
         return tuple(np.array(c, kind) for c, kind in zip(columns, (np.int64, np.int64, np.float64), strict=True))
 
+    def _short(self, words: np.ndarray, owner: np.ndarray, n: int) -> set[tuple[int, int]]:
+        """Short items and the texts that hold all their words in a row."""
+        pairs = set()
+        for length, (runs, items) in self.short.items():
+            held, text = shingle_hashes(words, owner, n, length)
+            left, right = np.searchsorted(runs, held, side="left"), np.searchsorted(runs, held, side="right")
+            for at in np.flatnonzero(right > left):
+                pairs.update((int(text[at]), int(i)) for i in items[left[at] : right[at]])
+        return pairs
+
     def _candidates(self, shingles, text, first, last, part, tables) -> Iterator[tuple[int, int]]:
         first, size, text = first[part], (last - first)[part], text[part]
         start = np.cumsum(size) - size
@@ -128,37 +149,45 @@ def mark(
 
     Containment is the share of an item's distinct runs of ``size`` words (A-Z
     lower-cased, split at ASCII white space) that occur in the whole text. An item
-    of fewer words is one run of all its words, found only in texts of just those
-    words; items without words are never found, nor is anything in null or empty
-    texts. Repeated items are found as often as they occur; repeated rows stay. A
-    column named like ``out`` is replaced.
-
-    The benchmark is broadcast in blocks of about ``block_bytes`` of text, each of
-    which passes over the documents; the documents are never shuffled.
+    of fewer words is one run of all its words, found wherever a text has them in a row;
+    items without words are never found, nor is anything in null or empty
+    texts. Texts may be of any length. Repeated items are found as often as they occur;
+    repeated rows stay. Without items, or documents, nothing is found. A
+    column named like ``out`` is replaced; other names do not clash.
+
+    The benchmark is broadcast in blocks of about ``block_bytes`` of text, one after
+    the other. With a single block the documents are never shuffled; with several, each
+    passes over them, and what they found is joined to the documents by row number.
     """
     items = benchmark.select(F.col(item).alias("item"), F.col(item_text).cast("string").alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
     fields = T.StructType([T.StructField("item", items.schema["item"].dataType), T.StructField("containment", T.DoubleType())])
-    result = docs
-    for b in range(blocks):
+
+    def marked(rows: DataFrame, b: int) -> DataFrame:
         part = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).toArrow()
         names = part["item"].combine_chunks()
-        index = Index(part["text"].combine_chunks(), size, threshold, recall)
-        shared = docs.sparkSession.sparkContext.broadcast((index, names))
+        shared = docs.sparkSession.sparkContext.broadcast((Index(part["text"].combine_chunks(), size, threshold, recall), names))
 
-        def work(texts: pa.Array, shared=shared) -> list[pa.Array]:
+        def work(texts: pa.Array) -> list[pa.Array]:
             index, names = shared.value
             row, number, share = index.find(texts)
             found = pa.StructArray.from_arrays([names.take(pa.array(number)), pa.array(share)], ["item", "containment"])
             bounds = np.searchsorted(row, np.arange(len(texts) + 1))
             return [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), found)]
 
-        result = with_columns(result, text, [(out if b == 0 else f"__{out}_{b}", T.ArrayType(fields))], work)
-    if blocks > 1:
-        more = [f"__{out}_{b}" for b in range(1, blocks)]
-        result = result.withColumn(out, F.concat(out, *more)).drop(*more)
-    return result
+        return with_columns(rows, text, [(out, T.ArrayType(fields))], work)
+
+    if blocks == 1:
+        return marked(docs, 0)
+    row, hits = free_name(docs, "__row"), free_name(docs, "__hits")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = written_in_turn(
+        (marked(numbered.select(row, text), b).where(F.size(out) > 0).select(F.col(row), F.col(out).alias(hits)) for b in range(blocks)), "found"
+    )
+    found = found.groupBy(row).agg(F.array_sort(F.flatten(F.collect_list(hits))).alias(hits))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()]
+    return numbered.join(found, row, "left").select(*kept, F.coalesce(F.col(hits), F.array().cast(T.ArrayType(fields))).alias(out))
 
 
 def search(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:

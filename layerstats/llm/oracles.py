@@ -77,13 +77,30 @@ _RUNS = r"""
       lambda word: word != '') as words from {table})
 """
 
+_WORDS = r"""
+  select id, list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+      lambda word: word != '') as words from {table}
+"""
+
+#: Items of five words and more by their runs of five, shorter ones by all their words in a row.
 OP9 = f"""
 with d0 as (select doc_id as id, text from documents), i0 as (select item_id as id, text from benchmark),
-d as ({_RUNS.format(table="d0")}), i as ({_RUNS.format(table="i0")}),
-n as (select id, count(*) as n from i group by id)
+dw as materialized ({_WORDS.format(table="d0")}), iw as materialized ({_WORDS.format(table="i0")}),
+d as (select id, unnest(list_distinct(list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' ')))) as run
+  from dw where len(words) >= 5),
+i as (select id, unnest(list_distinct(list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' ')))) as run
+  from iw where len(words) >= 5),
+n as (select id, count(*) as n from i group by id),
+short as (select id, len(words) as m, array_to_string(words, ' ') as run from iw where len(words) between 1 and 4),
+ds as (
+  select id, m, unnest(list_distinct(list_transform(range(1, len(words) - m + 2), lambda k: array_to_string(words[k:k + m - 1], ' ')))) as run
+  from dw, (select distinct m from short) where len(words) >= m)
 select d.id as doc_id, n.id as item_id, count(*) / max(n.n) as containment
 from i join d using (run) join n on n.id = i.id
 group by d.id, n.id having count(*) >= 0.8 * max(n.n)
+union all
+select ds.id, short.id, 1.0::double from short join ds using (m, run)
 """
 
 OP5 = f"""

@@ -81,14 +81,17 @@ def cut(texts, length=200):
     ]
 
 
-def contained(docs, items, threshold=0.8):
-    """(doc_id, item_id) -> containment."""
-    held = {i: runs(t) for i, t in items}
+def contained(docs, items, threshold=0.8, size=5):
+    """(doc_id, item_id) -> containment; items of fewer words are found as a row of words."""
+    held = {i: (words(t), runs(t)) for i, t in items}
     out = {}
     for d, text in docs:
-        s = runs(text)
-        for i, r in held.items():
-            if r and len(r & s) >= threshold * len(r):
+        s, line = runs(text), f" {' '.join(words(text))} "
+        for i, (w, r) in held.items():
+            if 0 < len(w) < size:
+                if f" {' '.join(w)} " in line:
+                    out[d, i] = 1.0
+            elif r and len(r & s) >= threshold * len(r):
                 out[d, i] = len(r & s) / len(r)
     return out
 
