@@ -27,6 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerstats.llm.frames import give_back
 from layerstats.llm.seating import STRENGTH, draw
 from layerstats.llm.store import forget, written
 from layerstats.llm.words import LOWER, SPACE, buffers, mix, word_hashes
@@ -187,6 +188,7 @@ def _requests(buckets: int) -> object:
             for b in np.flatnonzero(np.diff(bounds)):
                 here = order[bounds[b] : bounds[b + 1]]
                 rows.append((kind, int(b), chunk, packed_keys(keys[here]), packed(counts[here])))
+        give_back()
         columns = zip(*rows, strict=True)
         kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["kind", "bucket", "chunk", "keys", "counts"])
@@ -245,7 +247,7 @@ class Above:
 
     def odds(self, dish: np.ndarray, tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For :func:`seating.draw`, when ``tables`` of a dish's customers have left."""
-        restaurant, left = self.restaurant[dish], self.customers[dish] - tables
+        restaurant, left = self.restaurant[dish], np.maximum(self.customers[dish] - tables, 0)
         seated = np.minimum(self.tables[dish], left)
         # With the last customer a table closes; who comes first opens one again.
         tables_there = self.tables_in_all[restaurant] - self.tables[dish] + np.maximum(seated, 1)
@@ -273,7 +275,13 @@ class Level:
         self.first = np.flatnonzero(new)
         self.restaurant = np.cumsum(new) - 1
         above = keys & np.uint64((1 << 8 * length) - 1)
-        self.parents, self.parent = np.unique(above, return_inverse=True)
+        # Up to 256 stretches that are in order, which this sort makes use of.
+        order = np.argsort(above, kind="stable")
+        ranked = above[order]
+        other = np.ones(len(ranked), bool)
+        other[1:] = ranked[1:] != ranked[:-1]
+        self.parents, self.parent = ranked[other], np.empty(len(keys), np.int64)
+        self.parent[order] = np.cumsum(other) - 1
         self.customers = np.zeros(len(keys), np.int64)
         self.tables = np.zeros(len(keys), np.int64)
 
@@ -450,6 +458,8 @@ def _seated(top: dict[str, np.ndarray], step: int) -> object:
                     "sampled": (row["sampled"] if step else []) + ([seating] if step >= BURN_IN else []),
                     "dishes": tree.top.astype(np.int64), "customers": tree.top_customers,
                 }
+                del tree, p, above
+                give_back()
                 kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(new.values(), kinds, strict=True)], list(new))
 
@@ -469,6 +479,8 @@ def _answer_runs(tops: list[tuple[np.ndarray, np.ndarray]]) -> object:
         value = np.log10(total / SAMPLES).astype(np.float32)
         asked = (unpacked_keys(k.as_py()) for k in requests["keys"])
         values = [packed(value[np.searchsorted(keys, k)]) for k in asked]
+        del tree, total
+        give_back()
         return pa.table({"kind": requests["kind"], "bucket": requests["bucket"], "chunk": requests["chunk"], "values": pa.array(values, pa.binary())})
 
     return run
@@ -522,6 +534,8 @@ def _scored(buckets: int, train_tokens: int, distinct: int) -> object:
                 sums[at + 1 : at + 1 + len(place)] = known[place]
             np.cumsum(sums, out=sums)
             score[block] = sums[end + 1] - sums[first]
+        del blocks, every, keys, value
+        give_back()
         return pa.table(
             {
                 "key": table["key"],
@@ -545,8 +559,9 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     (``train_tokens``) and V all and distinct tokens learned; ``n_known`` counts
     tokens with c > 0. ``score`` is the log10 probability of the text by the
     averaged Pitman-Yor predictions, and ``perplexity`` is 10^(-score / n_tokens).
-    Null texts are empty and have the end alone. Repeated rows are scored, and
-    learned from, as often as they occur. With nothing to learn from all symbols are equally likely.
+    Null texts are empty and have the end alone. Texts may be of any length. Repeated rows are scored, and
+    learned from, as often as they occur; rows that agree in key and text share a chunk. With nothing to learn from all symbols are equally likely.
+    Empty tables give no rows; other columns are not looked at, whatever their names.
     """
     rows = docs.select(
         F.col(key).alias("key"), F.col(text).cast("string").alias("text"), F.coalesce(learn, F.lit(False)).alias("learn")
