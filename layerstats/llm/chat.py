@@ -1,7 +1,8 @@
 """Conversations as training text in windows of a token budget.
 
 Prefix sums of the turns' tokens decide where windows begin, always between
-turns. Every window repeats the system turn and a limited end of the window
+turns: for each turn the one with which the next window would begin is looked up in
+the sums, and which turns do begin one is found along these links by pointer doubling. Every window repeats the system turn and a limited end of the window
 before it; only the assistant texts that a window adds are under its loss mask,
 so each is learned once. Built from DataFrame functions alone.
 """
@@ -22,6 +23,8 @@ ROLE_ESCAPES = (*ESCAPES, (":", "\\c"))
 TOKEN = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"
 #: Turn numbers that are added up together before the sums of such runs are.
 RUN = 64
+#: Tokens of a stretch of a conversation in which turns are looked up by their sums.
+CELL = 256
 
 
 def escape(text: Column, pairs: tuple[tuple[str, str], ...] = ESCAPES) -> Column:
@@ -41,6 +44,38 @@ def count_tokens(text: Column) -> Column:
     return F.regexp_count(text, F.lit(TOKEN))
 
 
+def _begins(turns: DataFrame) -> DataFrame:
+    """conv, pos and next: the turns that begin a window, and where the next window begins or the conversation is over."""
+    same = F.col("conv").eqNullSafe(F.col("o_conv"))
+    end = F.col("start") + F.col("tokens")
+    # The next window begins with the turn that holds the first token for which there is no more room.
+    first_out = turns.withColumn("at", F.col("start") + F.col("room"))
+    there = turns.select(
+        F.col("conv").alias("o_conv"), F.col("pos").alias("o_pos"), F.col("start").alias("o_start"), end.alias("o_end"),
+        F.explode(F.sequence(F.floor(F.col("start") / CELL), F.floor((end - 1) / CELL))).alias("cell"),
+    )
+    inside = same & (F.floor(F.col("at") / CELL) == F.col("cell")) & (F.col("o_start") <= F.col("at")) & (F.col("at") < F.col("o_end"))
+    found = first_out.join(there, inside, "left").select("conv", "pos", "n_conv", F.when(F.col("o_pos").isNotNull(), F.greatest("o_pos", F.col("pos") + 1)).alias("next"))
+    # A turn too long for any window is followed by the next one, if there is one.
+    over = F.when(F.col("next") <= F.col("n_conv"), F.col("next"))
+    linked = written(found.select("conv", "pos", over.alias("next"), (F.col("n_conv") + 1).alias("past")), "links")
+    jumps = [linked.where("next is not null").select("conv", "pos", "next")]
+    while True:
+        on = jumps[-1].select(F.col("conv").alias("o_conv"), F.col("pos").alias("o_pos"), F.col("next").alias("o_next"))
+        twice = jumps[-1].join(on, same & (F.col("next") == F.col("o_pos"))).select("conv", "pos", F.col("o_next").alias("next"))
+        twice = written(twice, "jumps")
+        if twice.isEmpty():
+            break
+        jumps.append(twice)
+    reached = written(turns.groupBy("conv").agg(F.min("pos").alias("pos")), "begins")
+    for jump in reversed(jumps):
+        on = jump.select(F.col("conv").alias("o_conv"), F.col("pos").alias("o_pos"), "next")
+        further = reached.join(on, same & (F.col("pos") == F.col("o_pos"))).select("conv", F.col("next").alias("pos"))
+        reached = written(reached.unionByName(further), "begins")
+    on = linked.select(F.col("conv").alias("o_conv"), F.col("pos").alias("o_pos"), F.coalesce("next", "past").alias("next"))
+    return reached.join(on, same & (F.col("pos") == F.col("o_pos"))).select("conv", "pos", "next")
+
+
 def windows(
     turns: DataFrame,
     budget: int = 1024,
@@ -62,12 +97,15 @@ def windows(
     are turns of their own. Null roles and texts are empty; rows of a null
     conversation belong together. A first turn with the role ``system`` is
     repeated in every window. ``history`` bounds the tokens of earlier turns that are
-    repeated, which come from the window just before. A window is over budget only
-    if one of its turns is longer than half of what system turn and history leave;
-    such a turn has a window of its own, and no text is ever cut.
+    repeated, which come from the window just before. Each window takes as many turns as
+    fit into what system turn and history leave. It is over budget only if it adds a single
+    turn that is longer; no text is ever cut. Texts may be of any length. Empty tables give
+    no windows; other columns are not looked at, whatever their names.
 
     No step needs a whole conversation in one task: turns are summed within runs
-    of ``RUN`` turn numbers, then the runs are. Turns and windows are written
+    of ``RUN`` turn numbers, then the runs are; turns are looked up within ``CELL`` tokens;
+    and links are followed in as many rounds as the longest chain of windows has binary digits.
+    Turns, links and windows are written
     tables in the shared folder, so the call itself runs Spark jobs.
     """
     if not 0 <= history < budget:
@@ -103,6 +141,7 @@ def windows(
     first_system = (F.col("n_before") + F.col("place") == 1) & (F.col("role") == "system")
     rows = rows.select(
         "conv", "role", "escaped", "head", "body", "chars", "tokens", "n_conv",
+        (F.col("n_before") + F.col("place")).alias("pos"),
         (F.col("t_before") + F.col("token_end") - F.col("tokens")).alias("start"),
         (F.col("c_before") + F.col("char_end") - F.col("chars")).alias("char_start"),
         first_system.alias("system"),
@@ -113,14 +152,12 @@ def windows(
     rows = rows.join(system, F.col("conv").eqNullSafe(F.col("s_conv")), "left")
     rows = rows.withColumns({"s_body": F.coalesce("s_body", F.lit("")), "s_tokens": F.coalesce("s_tokens", F.lit(0)), "s_chars": F.coalesce("s_chars", F.lit(0))})
 
-    # A window takes the turns that end within one stride. With strides of half
-    # the room, the first of them may reach back by a stride at most and all fit;
-    # a turn longer than that can only be the first, and stands alone.
-    stride = F.greatest(F.lit(1), F.floor((F.lit(budget - history) - F.col("s_tokens")) / 2))
-    long_turn = F.col("tokens") > stride
-    order = 2 * F.floor((F.col("start") + F.col("tokens") - F.col("s_tokens") - 1) / stride) + F.when(long_turn, 0).otherwise(1)
     # A system turn alone in its conversation still has a window.
-    rows = rows.where(~F.col("system") | (F.col("n_conv") == 1)).withColumn("window", F.when(F.col("system"), 0).otherwise(order))
+    rows = rows.where(~F.col("system") | (F.col("n_conv") == 1))
+    room = F.greatest(F.lit(1), F.lit(budget - history) - F.col("s_tokens"))
+    begins = _begins(rows.select("conv", "pos", "start", "tokens", "n_conv", room.alias("room")))
+    member = begins.select(F.col("conv").alias("w_conv"), F.col("pos").alias("window"), F.explode(F.sequence("pos", F.col("next") - 1)).alias("w_pos"))
+    rows = rows.join(member, F.col("conv").eqNullSafe(F.col("w_conv")) & (F.col("pos") == F.col("w_pos")))
     item = F.struct("start", "char_start", "tokens", "chars", "head", "role", F.when(F.col("system"), "").otherwise(F.col("body")).alias("body"), F.length("escaped").alias("size"))
     spans = rows.groupBy("conv", "window").agg(
         F.array_sort(F.collect_list(item)).alias("turns"),

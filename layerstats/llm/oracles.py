@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-#: The same windows by plain window functions over whole conversations.
+#: The same windows one after the other, over whole conversations.
 OP2 = r"""
-with t0 as (
+with recursive t0 as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all select -7, 0, 'user', '\### Assistant: </turn> ok'
   union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
@@ -23,10 +23,20 @@ t4 as (
     max(case when place = 1 and role = 'system' then chars else 0 end) over (partition by conv_id) as s_chars,
     count(*) over (partition by conv_id) as n_conv
   from t3),
-t5 as (select *, greatest(1, (1024 - 128 - s_tokens) // 2) as stride from t4),
+t5 as (
+  select *, greatest(1, 1024 - 128 - s_tokens) as room from t4 where not (place = 1 and role = 'system' and n_conv > 1)),
+nx as materialized (
+  select i.conv_id, i.place, min(j.place) as next
+  from t5 i join t5 j on i.conv_id is not distinct from j.conv_id and j.place > i.place
+    and j.start + j.tokens > i.start + i.room
+  group by i.conv_id, i.place),
+begins(conv_id, place) as (
+  select conv_id, min(place) from t5 group by conv_id
+  union all
+  select nx.conv_id, nx.next from begins b join nx on nx.conv_id is not distinct from b.conv_id and nx.place = b.place),
 t6 as (
-  select *, 2 * ((start + tokens - s_tokens - 1) // stride) + case when tokens > stride then 0 else 1 end as w
-  from t5 where not (place = 1 and role = 'system' and n_conv > 1)),
+  select t5.*, (select max(b.place) from begins b where b.conv_id is not distinct from t5.conv_id and b.place <= t5.place) as w
+  from t5),
 t7 as (select *, max(start + tokens) over (partition by conv_id, w) as w_end from t6),
 w as (
   select conv_id, w, max(s_chars) as s_chars,

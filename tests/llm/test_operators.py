@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import re
 
 import numpy as np
 import public_tokenizers
@@ -127,6 +128,31 @@ def test_chat_round_trip_of_odd_turns(spark):
     assert chat.windows(turns.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("case", ["equal", "mixed", "long"])
+def test_windows_are_as_full_as_one_after_the_other(spark, case):
+    """The windows that a walk through the turns would make, in conversations of very many turns too."""
+    rng = np.random.default_rng(11)
+    lengths = {"equal": [8] * 2000, "mixed": rng.integers(0, 120, 700), "long": rng.choice([3, 50, 1500], 300)}[case]
+    rows = [(1, 0, "system", "be kind")] + [(1, t, ("user", "assistant")[t % 2], " ".join(["word"] * int(n))) for t, n in enumerate(lengths, 1)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    budget, history = 1024, 128
+    got = chat.windows(turns, budget, history).orderBy("window").collect()
+    # Three hashes are one sign each, as are the colon, both slants of the closing mark and its two angles; then one more a turn.
+    cost = lambda r: 1 + len(re.findall(r"\w+|[^\s\w]", f"### {r[2]}: {r[3]} </turn>"))
+    room, want, used = budget - history - cost(rows[0]), [0], 0
+    for r in rows[1:]:
+        if want[-1] and used + cost(r) > room:
+            want.append(0)
+            used = 0
+        want[-1] += 1
+        used += cost(r)
+    assert [w.n_turns for w in got] == [want[0] + 1, *want[1:]]
+    # The first window counts the system turn as one of its own.
+    assert all(w.n_tokens <= budget or (w.over_budget and w.n_turns == (2 if w is got[0] else 1)) for w in got)
+    if case == "equal":
+        assert np.mean([w.n_tokens for w in got]) > 0.9 * budget
+
+
 # -- language model
 
 
