@@ -5,8 +5,10 @@
    and stay if their whole signatures agree well below the threshold. What they
    form is a graph of which a spanning forest is enough, so nothing as large as
    all pairs is ever a row.
-3. In each component of that graph the full sets of all members are compared,
-   in blocks, and every pair from the threshold is a link.
+3. In each component of that graph the full sets of all members are compared, and
+   every pair from the threshold is a link. A set travels as what it lacks and has more
+   than the component's first one, which is little among near copies: only components
+   of very many members are compared in several blocks.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from layerstats.llm.frames import give_back, with_columns
 from layerstats.llm.store import written
 from layerstats.llm.words import as_sets, mix, shingle_hashes, word_hashes
 
-#: Members of a band that one task compares, and shingles of a component's block.
+#: Members of a band that one task compares, and numbers in the differences of a component's block.
 BAND_BLOCK = 1000
 SET_BLOCK = 400_000
 #: Signatures that agree in this share less than the threshold are not followed up.
@@ -153,6 +155,24 @@ def _band_edges(least: float) -> object:
     return run
 
 
+def _near_pivot(least: float) -> object:
+    """Whether each member's signature agrees from ``least`` with that of its band's pivot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pivot = batch.column("pivot")
+            own, other = (
+                np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(batch.num_rows, -1)
+                for x in (batch.column("signature"), pivot.field("signature"))
+            )
+            near = (own == other).mean(axis=1) >= least if batch.num_rows else np.empty(0, bool)
+            kept = [batch.column(c) for c in ("cid", "band", "blocks", "signature")]
+            yield pa.RecordBatch.from_arrays([*kept, pivot.field("cid"), pa.array(near)], ["cid", "band", "blocks", "signature", "pivot", "near"])
+        give_back()
+
+    return run
+
+
 def _group_keys(table: pa.Table) -> np.ndarray:
     """Numbers that rise from one group of neighbouring rows to the next."""
     columns = [table[c].to_numpy() for c in ("band", "i", "j")]
@@ -176,17 +196,37 @@ def _dealt(members: DataFrame, key: str, blocks: str, cid: str) -> DataFrame:
     ).drop("own", "other", blocks)
 
 
+#: Changes what a set lacks into other numbers than what it has more.
+LACKS = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each set lacks and has more than its component's first set, both as one set of numbers."""
+    for batch in batches:
+        rows, lacking = [], []
+        for held, core in zip(batch.column("shingles"), batch.column("core"), strict=True):
+            held, core = np.frombuffer(held.as_py(), np.uint64), np.frombuffer(core.as_py(), np.uint64)
+            lacks = np.setdiff1d(core, held, assume_unique=True)
+            rows.append(np.concatenate([np.setdiff1d(held, core, assume_unique=True), lacks * LACKS ^ LACKS]).tobytes())
+            lacking.append(len(lacks))
+        columns = [batch.column(c) for c in ("root", "cid", "n_rows", "size", "core_size")]
+        names = ["root", "cid", "n_rows", "size", "core_size", "lacks", "differs"]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(lacking, pa.int64()), pa.array(rows, pa.binary())], names)
+    give_back()
+
+
 def _verified(threshold: float) -> object:
     """Links of each member of a block pair, and the least member it is linked to, directly or not."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("cid", ignore_index=True)
-        sets = [np.frombuffer(x, np.uint64) for x in group["shingles"]]
-        sizes = np.array([len(s) for s in sets])
+        sets = [np.frombuffer(x, np.uint64) for x in group["differs"]]
+        sizes, lacks = group["size"].to_numpy(np.float32), group["lacks"].to_numpy(np.float32)
+        core = np.float32(group["core_size"].iloc[0])
         weights, side, n = group["n_rows"].to_numpy(np.float64), group["side"].to_numpy(), len(group)
-        owner = np.repeat(np.arange(n), sizes)
-        shingle, number = np.unique(np.concatenate(sets), return_inverse=True)
-        common = np.bincount(number, minlength=len(shingle)) > 1
+        owner = np.repeat(np.arange(n), [len(s) for s in sets])
+        number = np.unique(np.concatenate(sets), return_inverse=True)[1] if len(owner) else owner
+        common = np.bincount(number) > 1 if len(owner) else np.empty(0, bool)
         place = np.cumsum(common) - 1
         here = common[number]
         owner, number = owner[here], place[number[here]]
@@ -196,7 +236,8 @@ def _verified(threshold: float) -> object:
         columns = 2048
         for at in range(0, n, 1024):
             rows = slice(at, min(n, at + 1024))
-            shared = np.zeros((rows.stop - at, n), np.float32)
+            # The first set without what either lacks, with what both lack, and with what both have more.
+            shared = core - lacks[rows, None] - lacks[None, :]
             for c in range(0, int(common.sum()), columns):
                 lo, hi = np.searchsorted(number, [c, c + columns])
                 held = np.zeros((n, columns), np.float32)
@@ -209,7 +250,7 @@ def _verified(threshold: float) -> object:
             a, b = np.nonzero(similar)
             left.append(a + at), right.append(b)
         root = _forest(n, np.concatenate(left), np.concatenate(right))
-        del sets, shingle, number, owner, order
+        del sets, number, owner, order
         give_back()
         return pd.DataFrame({"cid": group["cid"], "links": links.astype(np.int64), "root": group["cid"].to_numpy()[root]})
 
@@ -259,9 +300,26 @@ def classes(
     crowded = band.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     members = band.join(crowded, "band").withColumn("blocks", F.ceil(F.col("n") / BAND_BLOCK).cast("long")).drop("n")
     members = members.join(sets.select("cid", "signature"), "cid")
-    dealt = _dealt(members, "band", "blocks", "cid").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "cid")
-    edges = dealt.select("cid", "band", "i", "j", "side", "signature").mapInArrow(_band_edges(threshold - SLACK), "a binary, b binary")
-    candidates = components(edges.distinct())
+    # In a crowded band all are compared to one member; who resembles it needs no more, as one edge is enough.
+    pivot = members.where("blocks > 1").groupBy("band").agg(F.min(F.struct("cid", "signature")).alias("pivot"))
+    crowd = written(
+        members.where("blocks > 1").join(pivot, "band").select("cid", "band", "blocks", "signature", "pivot").mapInArrow(
+            _near_pivot(threshold - SLACK), "cid binary, band long, blocks long, signature binary, pivot binary, near boolean"
+        ),
+        "crowd",
+    )
+    # All others are compared to everybody, in blocks.
+    rest = crowd.where("not near").groupBy("band").agg(F.ceil(F.count("*") / BAND_BLOCK).cast("long").alias("rest_blocks"))
+    crowd = crowd.join(rest, "band", "left").withColumn("rest_blocks", F.coalesce("rest_blocks", F.lit(0)))
+    hashed, each = F.xxhash64("cid"), lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    pairs = ("cid", "band", "i", "j", "side", "signature")
+    small = members.where("blocks = 1").withColumns({"i": F.lit(0).cast("long"), "j": F.lit(0).cast("long"), "side": F.lit(2)}).select(*pairs)
+    few = crowd.where("not near").withColumns({"i": F.pmod(hashed, F.col("rest_blocks")), "j": each(F.col("blocks")), "side": F.lit(0)}).select(*pairs)
+    many = crowd.where("rest_blocks > 0").withColumns({"i": each(F.col("rest_blocks")), "j": F.pmod(hashed, F.col("blocks")), "side": F.lit(1)}).select(*pairs)
+    dealt = small.unionByName(few).unionByName(many).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "cid")
+    edges = dealt.mapInArrow(_band_edges(threshold - SLACK), "a binary, b binary")
+    stars = crowd.where("near and cid != pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
+    candidates = components(edges.unionByName(stars).distinct())
 
     # Full sets of the candidates, from one text of each class.
     named = candidates.join(sets.select("cid", "set_id", "n_rows", "size"), candidates["node"] == sets["cid"]).drop("node")
@@ -275,10 +333,17 @@ def classes(
         return [digests(values, bounds), pa.array(raw, pa.large_binary()).cast(pa.binary())]
 
     full = with_columns(wanted, "text", [("cid", T.BinaryType()), ("shingles", T.BinaryType())], held).select("cid", "shingles")
-    weight = named.groupBy("root").agg(F.ceil(F.sum("size") / SET_BLOCK).cast("long").alias("blocks"))
-    grouped = named.join(weight, "root").join(full.dropDuplicates(["cid"]), "cid").select("root", "cid", "n_rows", "shingles", "blocks")
+    whole = named.join(full.dropDuplicates(["cid"]), "cid").select("root", "cid", "n_rows", "size", "shingles")
+    core = whole.where("cid = root").select("root", F.col("shingles").alias("core"), F.col("size").alias("core_size"))
+    slim = written(
+        whole.join(core, "root").mapInArrow(
+            _differences, "root binary, cid binary, n_rows long, size long, core_size long, lacks long, differs binary"
+        ),
+        "differences",
+    )
+    weight = slim.groupBy("root").agg(F.greatest(F.lit(1), F.ceil(F.sum(F.octet_length("differs") / 8 + 1) / SET_BLOCK)).cast("long").alias("blocks"))
     checked = written(
-        _dealt(grouped, "root", "blocks", "cid")
+        _dealt(slim.join(weight, "root"), "root", "blocks", "cid")
         .groupBy("root", "i", "j")
         .applyInPandas(_verified(threshold), "cid binary, links long, root binary"),
         "links",
