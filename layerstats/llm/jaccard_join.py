@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from layerstats.llm.components import components
 from layerstats.llm.frames import give_back, with_columns
-from layerstats.llm.store import written
+from layerstats.llm.store import settled, written
 from layerstats.llm.words import as_sets, mix, shingle_hashes, word_hashes
 
 #: Members of a band that one task compares, and numbers in the differences of a component's block.
@@ -262,9 +262,7 @@ def name_sets(docs: DataFrame, text: str = "text", size: int = 5) -> DataFrame:
     return with_columns(docs, text, [("cid", T.BinaryType())], lambda texts: [digests(*sets_of(texts, size))], keep_text=False)
 
 
-def classes(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, threshold: float = 0.8, recall: float = 0.999
-) -> DataFrame:
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
     """One row for each distinct set of word runs: cid, set_id, class_id, root, n_rows and n_links.
 
     ``set_id`` is the least key with that set. ``root`` names, and ``class_id`` is the
@@ -272,6 +270,10 @@ def classes(
     the other rows whose Jaccard similarity to it is ``threshold`` or more.
     Texts without words have no row. See :func:`join` for the rest.
     """
+    return settled(docs.sparkSession, lambda: _classes(docs, key, text, size, threshold, recall), "classes")
+
+
+def _classes(docs: DataFrame, key: str, text: str, size: int, threshold: float, recall: float) -> DataFrame:
     bands, rows = choose_bands(threshold, recall)
     signer = Signer(bands, rows)
 
@@ -359,7 +361,7 @@ def classes(
         .drop("links")
     )
     least = table.groupBy("root").agg(F.min("set_id").alias("class_id"))
-    return written(table.join(least, "root").select("cid", "set_id", "class_id", "root", "n_rows", "n_links"), "classes")
+    return table.join(least, "root").select("cid", "set_id", "class_id", "root", "n_rows", "n_links")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

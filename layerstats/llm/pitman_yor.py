@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from layerstats.llm.frames import give_back
 from layerstats.llm.seating import STRENGTH, draw
-from layerstats.llm.store import forget, written
+from layerstats.llm.store import forget, settled, written
 from layerstats.llm.words import LOWER, SPACE, buffers, mix, word_hashes
 
 DEPTH = 6
@@ -563,6 +563,11 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     learned from, as often as they occur; rows that agree in key and text share a chunk. With nothing to learn from all symbols are equally likely.
     Empty tables give no rows; other columns are not looked at, whatever their names.
     """
+    scored = settled(docs.sparkSession, lambda: _score(docs, learn, key, text), "scores")
+    return scored.withColumnRenamed("key", key).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+
+
+def _score(docs: DataFrame, learn: Column, key: str, text: str) -> DataFrame:
     rows = docs.select(
         F.col(key).alias("key"), F.col(text).cast("string").alias("text"), F.coalesce(learn, F.lit(False)).alias("learn")
     )
@@ -605,7 +610,7 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     )
     replies = words.select("kind", "bucket", "chunk", "values").unionByName(answers)
     out = rows.select("key").schema["key"].dataType.simpleString()
-    scored = (
+    return (
         dealt.groupBy("chunk")
         .cogroup(replies.groupBy("chunk"))
         .applyInArrow(
@@ -613,4 +618,3 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
             f"key {out}, n_tokens long, n_known long, train_tokens long, base_score double, score double",
         )
     )
-    return scored.withColumnRenamed("key", key).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

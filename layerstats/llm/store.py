@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from layerstats.sources.shared import remove_dir
 
+#: Folders written on the way to each result that is being made, the innermost last.
+_on_the_way: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; where it is unset, a folder in the warehouse."""
@@ -16,25 +19,50 @@ def shared_folder(spark: SparkSession) -> str:
     return given.rstrip("/") if given else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table of its own and read it back: later work neither repeats nor loses it."""
-    spark = df.sparkSession
+def _folder(spark: SparkSession, name: str) -> str:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    if _on_the_way:
+        _on_the_way[-1].append(path)
+    return path
+
+
+def _read(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     table = spark.read.schema(df.schema).parquet(path)
     table.written_to = path
     return table
 
 
-def forget(table: DataFrame) -> None:
-    """Delete what :func:`written` wrote, once nothing is going to read it again."""
-    remove_dir(table.sparkSession, table.written_to)
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table of its own and read it back: later work neither repeats nor loses it."""
+    path = _folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return _read(df.sparkSession, df, path)
 
 
 def written_in_turn(frames: Iterable[DataFrame], name: str) -> DataFrame:
     """Write frames of one schema, at least one, into one table, each before the next is made, and read it."""
     path = ""
     for df in frames:
-        path = path or f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+        path = path or _folder(df.sparkSession, name)
         df.write.mode("append").option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _read(df.sparkSession, df, path)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Write what ``make`` gives, and delete all that was written on the way to it."""
+    _on_the_way.append([])
+    try:
+        df = make()
+        own = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(own)
+    finally:
+        for path in _on_the_way.pop():
+            remove_dir(spark, path)
+    if _on_the_way:
+        _on_the_way[-1].append(own)
+    return _read(spark, df, own)
+
+
+def forget(table: DataFrame) -> None:
+    """Delete what :func:`written` wrote, once nothing is going to read it again."""
+    remove_dir(table.sparkSession, table.written_to)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerstats.llm.frames import free_name, give_back, pieces
-from layerstats.llm.store import written
+from layerstats.llm.store import settled, written
 from layerstats.llm.words import _TABLE, _power, buffers, mix
 
 LENGTH, GRAM = 200, 48
@@ -326,7 +326,11 @@ def remove_repeats(
     grams, which 128 bits of SHA-256 tell.
     """
     spans, print_of, of = (free_name(docs, name) for name in ("__spans", "__print", "__of"))
-    found = repeats(docs, text, length, **options).select(F.col("print").alias(of), F.col("spans").alias(spans))
+    found = settled(
+        docs.sparkSession,
+        lambda: repeats(docs, text, length, **options).select(F.col("print").alias(of), F.col("spans").alias(spans)),
+        "spans",
+    )
     kept_fields = [f for f in docs.schema.fields if f.name.lower() not in (kept.lower(), removed.lower())]
     rows = docs.select(*(F.col(f"`{f.name}`") for f in kept_fields), _print(text).alias(print_of))
     rows = rows.join(found, rows[print_of] == found[of], "left").drop(print_of, of)

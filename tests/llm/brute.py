@@ -81,6 +81,26 @@ def cut(texts, length=200):
     ]
 
 
+def cut_characters(texts, length=200):
+    """What is left of each text if a character goes only with all its bytes."""
+    raw = [(t or "").encode() for t in texts]
+    seen = collections.Counter(r[p : p + length] for r in raw for p in range(len(r) - length + 1))
+    out = []
+    for t, r in zip(texts, raw, strict=True):
+        gone = np.zeros(len(r), bool)
+        for p in range(len(r) - length + 1):
+            if seen[r[p : p + length]] > 1:
+                gone[p : p + length] = True
+        at, kept = 0, []
+        for c in t or "":
+            size = len(c.encode())
+            if not gone[at : at + size].all():
+                kept.append(c)
+            at += size
+        out.append("".join(kept))
+    return out
+
+
 def contained(docs, items, threshold=0.8, size=5):
     """(doc_id, item_id) -> containment; items of fewer words are found as a row of words."""
     held = {i: (words(t), runs(t)) for i, t in items}
