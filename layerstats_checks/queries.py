@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -156,10 +157,10 @@ def publish_overwrite(spark, sf_dir):
 
 
 def refused(work: Callable[[], object]) -> Column:
-    """Whether some work ends in an error of Spark's."""
+    """Whether some work ends in an error of Spark's, also one that comes as it is from the JVM."""
     try:
         work()
-    except PySparkException:
+    except (PySparkException, Py4JError):
         return F.lit(True).alias("refused")
     return F.lit(False).alias("refused")
 
