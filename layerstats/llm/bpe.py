@@ -183,9 +183,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     ``path`` is the vocabulary file, at the same place on every executor. Strings
     of special tokens inside a text become those tokens. Null and empty texts have
     an empty array; rows are neither dropped nor reordered within a partition, so
-    repeated rows stay repeated. An input column named like ``ids`` is replaced.
+    repeated rows stay repeated. Texts may be of any length, empty tables give no rows.
+    An input column named like ``ids`` is replaced.
     """
-    return with_columns(docs, text, [(ids, T.ArrayType(T.IntegerType()))], lambda texts: [load(path).encode(texts)])
+    added = [(ids, T.ArrayType(T.IntegerType()))]
+    # An idle worker keeps the vocabulary, not the words it has met.
+    return with_columns(docs, text, added, lambda texts: [load(path).encode(texts)], after=lambda: load(path).forget())
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:

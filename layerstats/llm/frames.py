@@ -53,8 +53,9 @@ def with_columns(
     added: Sequence[tuple[str, T.DataType]],
     work: Callable[[pa.Array], Sequence[pa.Array]],
     keep_text: bool = True,
+    after: Callable[[], None] = lambda: None,
 ) -> DataFrame:
-    """``df`` with columns made from one text column, which goes if not ``keep_text``.
+    """``df`` with columns made from one text column, which goes if not ``keep_text``; a task ends with ``after``.
 
     An input column whose name equals a new one's, in whatever case, is replaced.
     Names that occur twice in ``df`` are refused, as Spark refuses to name them.
@@ -72,5 +73,7 @@ def with_columns(
             for part in pieces(batch, source):
                 columns = work(part.column(source))
                 yield pa.RecordBatch.from_arrays([*(part.column(x) for x in keep), *columns], [*keep, *make])
+        after()
+        give_back()
 
     return inputs.mapInArrow(run, schema)
