@@ -92,7 +92,8 @@ def classify(
     rejected: ``confident`` is false, ``out`` still names the smallest. Equal sizes
     go to the language whose dictionary shares most four-letter runs with the text, then to the first
     name. Null texts, texts without a letter, and all texts when no language was
-    learned are ``und`` with score 0. Columns of these names are replaced.
+    learned are ``und`` with score 0. Texts may be of any length; repeated rows get equal
+    results; empty tables give no rows. Columns of these names are replaced.
     """
     names = sorted(dictionaries)
     frozen = tuple((name, dictionaries[name]) for name in names)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable, Iterable
 
@@ -9,8 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from layerstats.sources.shared import remove_dir
 
-#: Folders written on the way to each result that is being made, the innermost last.
-_on_the_way: list[list[str]] = []
+
+class _OnTheWay(threading.local):
+    """Folders written on the way to each result that this thread is making, the innermost last."""
+
+    def __init__(self):
+        self.lists: list[list[str]] = []
+
+
+_on_the_way = _OnTheWay()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,8 +29,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 def _folder(spark: SparkSession, name: str) -> str:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    if _on_the_way:
-        _on_the_way[-1].append(path)
+    if _on_the_way.lists:
+        _on_the_way.lists[-1].append(path)
     return path
 
 
@@ -50,16 +58,16 @@ def written_in_turn(frames: Iterable[DataFrame], name: str) -> DataFrame:
 
 def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
     """Write what ``make`` gives, and delete all that was written on the way to it."""
-    _on_the_way.append([])
+    _on_the_way.lists.append([])
     try:
         df = make()
         own = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         df.write.option("compression", "zstd").parquet(own)
     finally:
-        for path in _on_the_way.pop():
+        for path in _on_the_way.lists.pop():
             remove_dir(spark, path)
-    if _on_the_way:
-        _on_the_way[-1].append(own)
+    if _on_the_way.lists:
+        _on_the_way.lists[-1].append(own)
     return _read(spark, df, own)
 
 

@@ -229,7 +229,8 @@ def score(
 
     ``offending`` lists start, end (in characters) and probability of every
     sentence from ``threshold``, in text order. Null, empty and wordless texts
-    have the score of a sentence without words and no offending one. Columns of
+    have the score of a sentence without words and no offending one. Texts may be of any
+    length; repeated rows get equal scores; empty tables give no rows. Columns of
     these names in ``docs`` are replaced.
     """
     weights, bias = model

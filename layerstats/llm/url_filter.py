@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Hexadecimal digits of a digest that the join compares.
 PREFIX = 8
+#: Shapes of rules up to which only expressions of these shapes are made; beyond, all are.
 MOST_SHAPES = 10_000
 
 
@@ -61,18 +62,26 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     The longest, host and path together, wins; of equally long ones ``block``
     before ``allow``, then the first by name. Only expressions of a shape that
     some rule has (so many host labels, so many slashes) are made, which leaves
-    no rule out and bounds the expressions of one URL. Each distinct URL is judged
+    no rule out and bounds the expressions of one URL; with more than ``MOST_SHAPES`` of
+    them, all expressions are made. Each distinct URL is judged
     once; null and malformed URLs fit no rule and get ``default``, as do URLs
-    without a rule. Repeated rows stay; columns of the added names are replaced.
+    without a rule. URLs may be of any length. Repeated rows stay; empty tables of pages give no rows, without
+    rules all get ``default``; columns of the added names are replaced, other names do not clash.
     """
     ready = prepared_rules(rules)
     shapes = ready.select("labels", "slashes").distinct().limit(MOST_SHAPES + 1).collect()
-    if len(shapes) > MOST_SHAPES:
-        raise ValueError(f"rules have more than {MOST_SHAPES} combinations of labels and slashes")
     host, path = host_and_path(F.col("__url"))
     urls = pages.select(F.col(url).cast("string").alias("__url")).distinct().withColumns({"__host": host, "__path": path})
     labels, slashes = _count(F.col("__host"), ".") + 1, _count(F.col("__path"), "/")
-    made = F.array_compact(
+    first = lambda text, sign, n: F.call_function("substring_index", F.col(text), F.lit(sign), n)
+    every = F.transform(
+        F.sequence(F.lit(1), labels),
+        lambda n: F.transform(
+            F.sequence(F.lit(0), slashes),
+            lambda m: F.concat(first("__host", ".", -n), F.when(m > 0, F.concat(first("__path", "/", m), F.lit("/"))).otherwise("")),
+        ),
+    )
+    made = F.flatten(every) if len(shapes) > MOST_SHAPES else F.array_compact(
         F.array(
             *(
                 F.when(

@@ -427,7 +427,9 @@ def test_components(spark):
 # -- URLs
 
 
-def test_rules(spark):
+@pytest.mark.parametrize("most_shapes", [url_filter.MOST_SHAPES, 1])
+def test_rules(spark, monkeypatch, most_shapes):
+    monkeypatch.setattr(url_filter, "MOST_SHAPES", most_shapes)
     rules = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("a.example.com", "/en/pri", "allow"), ("example.com", "/en/private/", "allow"), ("net", "", "block"), ("net", "", "allow"), ("B.org", "/x", "block")]
     urls = [
         "http://example.com/en/x", "http://a.example.com/en/private/y", "http://a.example.com/en/prix", "http://notexample.com/en/", "http://com/", "http://EXAMPLE.com", "https://x.net", "x.net", None, "", "http://", "ftp://b.org/xy?z#f",
