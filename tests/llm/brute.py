@@ -134,7 +134,7 @@ def bm25(rows, queries, k=10):
             for j, b in enumerate(bags):
                 if w in b:
                     scores[j] += qtf * idf * b[w] * 2.2 / (b[w] + 1.2 * (0.25 + 0.75 * sizes[j] / average))
-        out[q] = sorted((-round(s, 9), rows[j][0]) for j, s in scores.items())[:k]
+        out[q] = sorted(((-s, rows[j][0]) for j, s in scores.items()), key=lambda x: (round(x[0], 4), x[1] is None, x[1] or 0))[:k]
     return out
 
 

@@ -462,7 +462,7 @@ def test_best_rows(spark, documents, odd, monkeypatch, frequent):
     monkeypatch.setattr(topk, "FREQUENT", frequent)
     monkeypatch.setattr(topk, "TOGETHER", 7)
     monkeypatch.setattr(topk, "POSTINGS", 50)
-    monkeypatch.setattr(topk, "AHEAD", 3)
+    monkeypatch.setattr(topk, "AHEAD", (3, 2))
     monkeypatch.setattr(topk, "SHARD_DOCS", 20)
     monkeypatch.setattr(topk, "QUERY_BLOCK_TERMS", 500)
     rows = [d[:2] for d in documents] + [(i and i + 10**6 + 3, t) for i, t in map(tuple, odd.select("doc_id", "text").collect())]
