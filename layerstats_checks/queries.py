@@ -111,6 +111,11 @@ def keep_gold(spark: SparkSession, cfg: LayerConfig, plan: LayerPlan) -> None:
     remove_dir(spark, f"{cfg.base}/landing")
 
 
+def folder_of(path: str) -> Column:
+    """The folder a file is in, without a regular expression that starts anew at every character."""
+    return F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+
+
 def typed_like(df: DataFrame, model: DataFrame, *extra: Column) -> DataFrame:
     """Text columns read back as the types they were written from."""
     return df.select(*[F.col(f.name).try_cast(f.dataType) for f in model.schema], *extra)
@@ -136,8 +141,9 @@ def csv_inferred(spark, sf_dir):
 def ingest_provenance(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     path = write_csv(events, f"{shared_dir(spark, 'provenance')}/events_csv")
-    folder = F.regexp_extract("source_file", "([^/]+)/[^/]+$", 1).alias("source_folder")
-    return typed_like(ingest_csv(spark, path), events, folder)
+    return typed_like(
+        ingest_csv(spark, path), events, folder_of("source_file").alias("source_folder")
+    )
 
 
 def layer_readback(spark, sf_dir):
@@ -504,7 +510,7 @@ def football_source(spark, sf_dir):
     write_csv(rows.where(~odd), f"{cfg.base}/landing/even")
     plan = football_plan()
     build_bronze(spark, f"{cfg.base}/landing/*", cfg, plan)
-    folder = F.regexp_extract("origem_arquivo", "([^/]+)/[^/]+$", 1).alias("origem_arquivo")
+    folder = folder_of("origem_arquivo").alias("origem_arquivo")
     return build_silver(spark, cfg, plan).select("id_partida", "clube", "chutes_no_alvo", folder)
 
 
