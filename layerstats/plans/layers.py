@@ -13,6 +13,7 @@ from layerstats.operators.conform import ConformSpec, conform
 from layerstats.operators.report import Report, run_report
 from layerstats.sources.delimited import ingest_csv
 from layerstats.sources.layers import BRONZE, GOLD, SILVER, LayerConfig, publish, publish_all, read_layer, stage
+from layerstats.sources.shared import finer_splits
 
 
 @dataclass(frozen=True)
@@ -34,15 +35,17 @@ def build_bronze(spark: SparkSession, path: str, cfg: LayerConfig, plan: LayerPl
     spec = plan.spec
     text = {spec.period_text.lower(), spec.entity.lower()}
     text |= {old for old, new in spec.renames.items() if new.lower() in text}
-    raw = ingest_csv(spark, path, plan.schema, plan.infer_schema, plan.delimiter, as_text=text)
-    return publish(raw, cfg, BRONZE, plan.bronze)
+    with finer_splits(spark):
+        raw = ingest_csv(spark, path, plan.schema, plan.infer_schema, plan.delimiter, as_text=text)
+        return publish(raw, cfg, BRONZE, plan.bronze)
 
 
 def build_silver(
     spark: SparkSession, cfg: LayerConfig, plan: LayerPlan, partition_by: tuple[str, ...] = ()
 ) -> DataFrame:
     bronze = read_layer(spark, cfg, BRONZE, plan.bronze)
-    return publish(conform(bronze, plan.spec), cfg, SILVER, plan.silver, partition_by)
+    with finer_splits(spark):
+        return publish(conform(bronze, plan.spec), cfg, SILVER, plan.silver, partition_by)
 
 
 def build_gold(
@@ -61,7 +64,7 @@ def build_gold(
     """
     if silver is None:
         silver = read_layer(spark, cfg, SILVER, plan.silver)
-    with shared_summaries(silver, plan.summaries, f"{cfg.base}/staging") as tables:
+    with finer_splits(spark), shared_summaries(silver, plan.summaries, f"{cfg.base}/staging") as tables:
         names = [summary.name for summary in plan.summaries]
         keys = [summary.keys if sort else () for summary in plan.summaries]
         staged = [

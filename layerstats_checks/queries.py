@@ -46,6 +46,7 @@ from layerstats import (
     totals,
     verify_layer,
 )
+from layerstats.sources.shared import finer_splits
 
 BY_CLUB, BY_ROUND = ("season", "club"), ("season", "round_no")
 MEANS = {name: f"avg_{name}" for name in STATISTICS}
@@ -91,7 +92,8 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_csv(df: DataFrame, path: str) -> str:
     """Write all columns as full text; Spark's CSV writer trims and cuts off microseconds."""
     keep = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.select(*[F.col(name).cast("string") for name in df.columns]).write.options(**keep).csv(path)
+    with finer_splits(df.sparkSession):
+        df.select(*[F.col(name).cast("string") for name in df.columns]).write.options(**keep).csv(path)
     return path
 
 
