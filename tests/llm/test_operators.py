@@ -479,6 +479,42 @@ def test_best_rows(spark, documents, odd, monkeypatch, frequent):
     assert topk.search(docs.limit(0), F.lit(True)).count() == 0
 
 
+def test_few_rows_are_scored_exactly(monkeypatch):
+    """A query without a k-th score looks through whole blocks, but scores exactly only what can be among its first."""
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{w}" for w in rng.zipf(1.3, rng.integers(20, 60)) % 3000)) for i in range(2000)]
+    texts = pa.array([t for _, t in rows])
+    table = pa.table({"group": pa.array([0] * len(rows), pa.int32()), "key": pa.array([i for i, _ in rows]), "text": texts})
+    row = topk._indexed(table).to_pylist()[0]
+    doc, term, count = topk.terms(texts)
+    distinct, place, df = np.unique(term, return_inverse=True, return_counts=True)
+    weight = count * np.log1p((len(rows) - df[place] + 0.5) / (df[place] + 0.5))
+    n, k = 40, 10
+    bounds = np.searchsorted(doc, np.arange(n + 1))
+    queries = topk.Queries(bounds, term[: bounds[-1]], weight[: bounds[-1]])
+    scored, raised = [], topk.raise_best
+    monkeypatch.setattr(topk, "raise_best", lambda best, owner, score, k: (scored.append(len(owner)), raised(best, owner, score, k)))
+    ids = pa.array(row["ids"])
+    found = topk.Shard(row, row["length"] / len(rows), ids).search(queries, k, np.zeros((n, k)))
+    query, place, score = (np.concatenate(x) for x in zip(*found, strict=True))
+    assert scored[0] <= 2 * k * n
+    want = brute.bm25(rows, range(n))
+    for j in range(n):
+        mine = np.flatnonzero(query == j)
+        best = sorted(zip(-score[mine].round(4), ids.take(pa.array(place[mine])).to_pylist(), strict=True))[:k]
+        assert [i for _, i in best] == [i for _, i in want[j]]
+        assert [s for s, _ in best] == pytest.approx([s for s, _ in want[j]], abs=1e-4)
+
+
+def test_most_frequent_term():
+    def term(word):
+        return topk.terms(pa.array([word]))[1][0]
+
+    words = topk.terms(pa.array(["b a b", "", "c", None, "d e"]))
+    assert topk._most_frequent(*words, 5).tolist() == [term("b"), 0, term("c"), 0, max(term("d"), term("e"))]
+    assert topk._most_frequent(*topk.terms(pa.array(["", None])), 2).tolist() == [0, 0]
+
+
 # -- language
 
 
