@@ -25,12 +25,16 @@ from pyspark.sql import types as T
 
 from layerstats.llm.components import components
 from layerstats.llm.frames import give_back, with_columns
-from layerstats.llm.store import settled, written
+from layerstats.llm.store import files_for, settled, written
 from layerstats.llm.words import as_sets, mix, shingle_hashes, word_hashes
 
 #: Members of a band that one task compares, and numbers in the differences of a component's block.
 BAND_BLOCK = 1000
 SET_BLOCK = 400_000
+#: Cells of a matrix of members by members, or by numbers, that a task holds at a time.
+CELLS = 1 << 20
+#: Classes in a file; of their signatures and bands, which take most, a class has less than a KB.
+CLASSES = 20_000
 #: Signatures that agree in this share less than the threshold are not followed up.
 SLACK = 0.25
 
@@ -232,10 +236,10 @@ def _verified(threshold: float) -> object:
         owner, number = owner[here], place[number[here]]
         order = np.argsort(number, kind="stable")
         owner, number = owner[order], number[order]
-        links, left, right = np.zeros(n), [], []
-        columns = 2048
-        for at in range(0, n, 1024):
-            rows = slice(at, min(n, at + 1024))
+        links, root = np.zeros(n), np.arange(n)
+        step, columns = (max(1, min(most, CELLS // n)) for most in (1024, 2048))
+        for at in range(0, n, step):
+            rows = slice(at, min(n, at + step))
             # The first set without what either lacks, with what both lack, and with what both have more.
             shared = core - lacks[rows, None] - lacks[None, :]
             for c in range(0, int(common.sum()), columns):
@@ -247,9 +251,10 @@ def _verified(threshold: float) -> object:
             similar[np.arange(rows.stop - at), np.arange(at, rows.stop)] = False
             similar &= (side[rows, None] == 2) | (side[rows, None] != side[None, :])
             links[rows] = similar @ weights
+            # Of the links met so far a spanning forest is kept; all of them would be a list of all pairs.
             a, b = np.nonzero(similar)
-            left.append(a + at), right.append(b)
-        root = _forest(n, np.concatenate(left), np.concatenate(right))
+            moved = np.flatnonzero(root != np.arange(n))
+            root = _forest(n, np.concatenate([moved, a + at]), np.concatenate([root[moved], b]))
         del sets, number, owner, order
         give_back()
         return pd.DataFrame({"cid": group["cid"], "links": links.astype(np.int64), "root": group["cid"].to_numpy()[root]})
@@ -276,6 +281,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
 def _classes(docs: DataFrame, key: str, text: str, size: int, threshold: float, recall: float) -> DataFrame:
     bands, rows = choose_bands(threshold, recall)
     signer = Signer(bands, rows)
+    files = files_for(docs.sparkSession, docs.count(), CLASSES)
 
     def sign(texts: pa.Array) -> list[pa.Array]:
         values, bounds = sets_of(texts, size)
@@ -296,6 +302,7 @@ def _classes(docs: DataFrame, key: str, text: str, size: int, threshold: float,
         .groupBy("cid")
         .agg(F.min("key").alias("set_id"), F.count("*").alias("n_rows"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("signature").alias("signature")),
         "sets",
+        files,
     )
 
     band = sets.select("cid", F.explode("bands").alias("band"))
@@ -321,7 +328,7 @@ def _classes(docs: DataFrame, key: str, text: str, size: int, threshold: float,
     dealt = small.unionByName(few).unionByName(many).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "cid")
     edges = dealt.mapInArrow(_band_edges(threshold - SLACK), "a binary, b binary")
     stars = crowd.where("near and cid != pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
-    candidates = components(edges.unionByName(stars).distinct())
+    candidates = components(edges.unionByName(stars), files)
 
     # Full sets of the candidates, from one text of each class.
     named = candidates.join(sets.select("cid", "set_id", "n_rows", "size"), candidates["node"] == sets["cid"]).drop("node")
@@ -342,6 +349,7 @@ def _classes(docs: DataFrame, key: str, text: str, size: int, threshold: float,
             _differences, "root binary, cid binary, n_rows long, size long, core_size long, lacks long, differs binary"
         ),
         "differences",
+        4 * files,
     )
     weight = slim.groupBy("root").agg(F.greatest(F.lit(1), F.ceil(F.sum(F.octet_length("differs") / 8 + 1) / SET_BLOCK)).cast("long").alias("blocks"))
     checked = written(
@@ -349,8 +357,9 @@ def _classes(docs: DataFrame, key: str, text: str, size: int, threshold: float,
         .groupBy("root", "i", "j")
         .applyInPandas(_verified(threshold), "cid binary, links long, root binary"),
         "links",
+        4 * files,
     )
-    linked = components(checked.select(F.col("root").alias("a"), F.col("cid").alias("b")).where("a != b").distinct())
+    linked = components(checked.select(F.col("root").alias("a"), F.col("cid").alias("b")), files)
     links = checked.groupBy("cid").agg(F.sum("links").alias("links"))
     table = (
         sets.select("cid", "set_id", "n_rows")
@@ -361,7 +370,7 @@ def _classes(docs: DataFrame, key: str, text: str, size: int, threshold: float,
         .drop("links")
     )
     least = table.groupBy("root").agg(F.min("set_id").alias("class_id"))
-    return table.join(least, "root").select("cid", "set_id", "class_id", "root", "n_rows", "n_links")
+    return table.join(least, "root").select("cid", "set_id", "class_id", "root", "n_rows", "n_links").coalesce(files)
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -379,12 +388,13 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) ->
     """
     found = classes(docs, key, text, **options)
     rows = name_sets(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "text", options.get("size", 5))
-    return rows.join(found, "cid", "left").select(
+    table = rows.join(found, "cid", "left").select(
         "doc_id",
         F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("set_id")).alias("set_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
+    return table.coalesce(files_for(docs.sparkSession, docs.count(), CLASSES))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

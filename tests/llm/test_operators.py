@@ -4,8 +4,11 @@ import collections
 import hashlib
 import math
 import re
+import sys
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 
 import brute
 from brute import LONG, PASSAGE
-from layerstats.llm import bpe, chat, contamination, jaccard_join, language, pitman_yor, seating, suffix_dedup, topk, toxicity, url_filter
+from layerstats.llm import bpe, chat, contamination, jaccard_join, language, pitman_yor, seating, store, suffix_dedup, topk, toxicity, url_filter
 from layerstats.llm.components import components
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -405,6 +408,84 @@ def test_links_against_all_pairs(spark, documents, odd, block, monkeypatch):
     assert sorted(((r.doc_id, r.class_id, r.n_links) for r in jaccard_join.join(docs).collect()), key=repr) == want
 
 
+def test_many_near_copies_take_no_list_of_pairs():
+    n = 4000
+    group = pd.DataFrame(
+        {
+            "cid": [i.to_bytes(16) for i in range(n)],
+            "n_rows": 1,
+            "size": 100,
+            "core_size": 100,
+            "lacks": 0,
+            "differs": [np.array([i // 2 + 1 << 20, 7], np.uint64).tobytes() for i in range(n)],
+            "side": 2,
+        }
+    )
+    tracemalloc.start()
+    try:
+        found = jaccard_join._verified(0.8)(group)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (found["links"] == n - 1).all() and (found["root"] == group["cid"][0]).all()
+    assert peak < 150e6
+
+
+@pytest.mark.parametrize("cells", [1, 50, 1 << 20])
+def test_links_of_a_component_by_rows(cells, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CELLS", cells)
+    rng = np.random.default_rng(cells)
+    core = np.arange(1, 21, dtype=np.uint64)
+    sets = [np.union1d(core[rng.random(20) < 0.9], rng.integers(100, 104, rng.integers(0, 4)).astype(np.uint64)) for _ in range(60)]
+    differs = [np.concatenate([np.setdiff1d(s, core), np.setdiff1d(core, s) * jaccard_join.LACKS ^ jaccard_join.LACKS]) for s in sets]
+    group = pd.DataFrame(
+        {
+            "cid": [i.to_bytes(16) for i in range(60)],
+            "n_rows": rng.integers(1, 4, 60),
+            "size": [len(s) for s in sets],
+            "core_size": 20,
+            "lacks": [len(np.setdiff1d(core, s)) for s in sets],
+            "differs": [d.tobytes() for d in differs],
+            "side": 2,
+        }
+    )
+    close = [(i, j) for i in range(60) for j in range(i) if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j])) - 1e-9]
+    links = np.zeros(60, int)
+    for i, j in close:
+        links[i] += group["n_rows"][j]
+        links[j] += group["n_rows"][i]
+    root = brute.groups(60, close)
+    found = jaccard_join._verified(0.8)(group)
+    assert found["links"].tolist() == links.tolist()
+    assert [int.from_bytes(x) for x in found["root"]] == [root[i] for i in range(60)]
+
+
+def test_small_tables_are_few_files(spark, documents, monkeypatch):
+    files = {}
+
+    def counted(df, name, *args):
+        table = store.written(df, name, *args)
+        files[name] = max(files.get(name, 0), len(table.inputFiles()))
+        return table
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    monkeypatch.setattr(sys.modules[components.__module__], "written", counted)
+    rows = [d[:2] for d in documents] + [(10**6 + i, f"{t} and {i}") for i, (_, t, _) in enumerate(documents)]
+    cores = spark.sparkContext.defaultParallelism
+    held = {"spark.sql.shuffle.partitions": str(16 * cores), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert found.rdd.getNumPartitions() <= cores
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert files["sets"] <= cores and files["edges"] <= cores
+    assert files["differences"] <= 4 * cores and files["links"] <= 4 * cores
+
+
 def test_one_of_each(spark, documents, odd):
     rows = [d[:2] for d in documents] + [(i and i + 10**6, t) for i, t in map(tuple, odd.select("doc_id", "text").collect())]
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, root string")
